@@ -35,15 +35,15 @@ def cents(value: Column) -> Column:
     return F.bround(value, 2)
 
 
-def fixed2(value: Column) -> Column:
+def two_places(value: Column) -> Column:
     return cents(value).cast("decimal(38,2)").cast("string")
 
 
-def fixed(value: Column, places: int) -> Column:
+def fixed_places(value: Column, places: int) -> Column:
     """A double with a fixed number of places, half-even on its decimal text."""
     return F.bround(value.cast("decimal(28,12)"), places).cast(f"decimal(28,{places})").cast("string")
 
 
 def short_score(value: Column) -> Column:
     """Score with up to four places, at least one: `0.75`, `1.0`."""
-    return F.regexp_replace(fixed(value, 4), r"(\.\d+?)0+$", "$1")
+    return F.regexp_replace(fixed_places(value, 4), r"(\.\d+?)0+$", "$1")

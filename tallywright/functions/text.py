@@ -47,13 +47,12 @@ def short_number(value: Column) -> Column:
     """Number with six significant digits and no padding: `23`, `2.5`, `1.23457e+06`."""
     scientific = F.format_string("%.5e", value)
     exponent = F.element_at(F.split(scientific, "e"), -1).cast("int")
-    plain = scientific.try_cast("decimal(24,12)").cast("decimal(24,12)")
-    trimmed = F.regexp_replace(plain.cast("string"), r"\.?0+$", "")
+    plain = scientific.try_cast("decimal(24,12)").cast("string")
     return (
         F.when(value.isNull(), None)
         .when(value == 0, "0")
         .when(
             (exponent < -4) | (exponent >= 6), F.regexp_replace(scientific, r"\.?0+e", "e")
         )
-        .otherwise(F.when(plain.cast("string").contains("."), trimmed))
+        .otherwise(F.regexp_replace(plain, r"\.?0+$", ""))
     )
