@@ -6,7 +6,9 @@ functions from a column to a column, and used in two ways: over the array inside
 aggregation, so the items of a very long document are never gathered in one place).
 """
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .. import fixed
 from ..functions.dates import parse_written_date, safe_date
@@ -19,7 +21,7 @@ from ..functions.money import (
     two_places,
 )
 from ..functions.text import fill, present
-from ..schema import AMOUNT, AMOUNT_LIMIT, PRICE, PRICE_LIMIT
+from ..schema import AMOUNT, AMOUNT_LIMIT, LINE_ITEM, PRICE, PRICE_LIMIT
 
 REQUIRED_CONFIDENCES = ("InvoiceId", "InvoiceDate", "VendorName", "InvoiceTotal")
 
@@ -111,10 +113,21 @@ def map_header(df: DataFrame, threshold: float = fixed.CONFIDENCE_THRESHOLD) ->
     ).drop("fields")
 
 
-# Items, one at a time: raw -> parsed -> priced -> judged.
+# Items, one at a time: raw -> parsed -> priced -> judged -> worded. Each step takes a way to read
+# the values so far (`F.col` for a table of items, a member of the lambda variable for an array)
+# and returns the new ones by name.
+
+Values = dict[str, Column]
+Read = Callable[[str], Column]
+
+STORED = ("position", "description", "quantity", "unit_price", "line_total")
+PARSED = (
+    *("position", "description", "has_quantity", "quantity", "exact_quantity"),
+    *("given_price", "line_total", "oversized"),
+)
 
 
-def parse_item(position: Column, raw: Column) -> Column:
+def parse_item(position: Column, raw: Column) -> Values:
     """Typed values of one raw item, with defaults for absent fields."""
     quantity = F.when(raw["Quantity"].isNull(), fixed.DEFAULT_QUANTITY).otherwise(
         raw["Quantity"]["value"]
@@ -123,144 +136,119 @@ def parse_item(position: Column, raw: Column) -> Column:
         raw["Description"].isNull(), fill(fixed.DEFAULT_DESCRIPTION, position=position)
     ).otherwise(raw["Description"]["value"])
     price, total = raw["UnitPrice"]["value"], raw["Amount"]["value"]
-    return F.struct(
-        position.cast("int").alias("position"),
-        description.alias("description"),
-        quantity.isNotNull().alias("has_quantity"),
-        quantity.try_cast("double").alias("quantity"),
-        safe_decimal(quantity).alias("exact_quantity"),
-        safe_decimal(price, PRICE).alias("given_price"),
-        safe_decimal(total).alias("line_total"),
-        (too_large(price, PRICE_LIMIT) | too_large(total, AMOUNT_LIMIT)).alias("oversized"),
+    values = (
+        position.cast("int"),
+        description,
+        quantity.isNotNull(),
+        quantity.try_cast("double"),
+        safe_decimal(quantity),
+        safe_decimal(price, PRICE),
+        safe_decimal(total),
+        too_large(price, PRICE_LIMIT) | too_large(total, AMOUNT_LIMIT),
     )
+    return dict(zip(PARSED, values, strict=True))
 
 
-def price_item(parsed: Column) -> Column:
-    """Add the unit price, back-calculated from the total where it is absent."""
+def price_item(read: Read) -> Values:
+    """The unit price, back-calculated from the total where it is absent."""
     derivable = (
-        parsed["given_price"].isNull()
-        & parsed["line_total"].isNotNull()
-        & (parsed["quantity"] != 0)
-        & ~parsed["oversized"]
-    )
-    derived = F.try_divide(parsed["line_total"], parsed["exact_quantity"]).try_cast(PRICE)
-    priced = parsed.withField(
-        "unit_price", F.when(derivable, derived).otherwise(parsed["given_price"])
+        read("given_price").isNull()
+        & read("line_total").isNotNull()
+        & (read("quantity") != 0)
+        & ~read("oversized")
     )
-    return priced.withField("unfit", F.coalesce(derivable, F.lit(False)))
-
+    derived = F.try_divide(read("line_total"), read("exact_quantity")).try_cast(PRICE)
+    return {
+        "unit_price": F.when(derivable, derived).otherwise(read("given_price")),
+        "derivable": F.coalesce(derivable, F.lit(False)),
+    }
 
-def judge_item(
-    priced: Column, tolerance: str = fixed.ROUNDING_TOLERANCE
-) -> Column:
-    """Add what is wrong with one item: `skipped` (E14), `error` (E18), `mismatch`.
 
-    At most one of `skipped` and `error` is set, and `mismatch` only where neither is.
-    """
-    position, description = priced["position"], priced["description"]
-    unit_price, line_total = priced["unit_price"], priced["line_total"]
-    unreadable = priced["has_quantity"] & priced["quantity"].isNull() & line_total.isNotNull()
-    unfit_price = priced["unfit"] & unit_price.isNull()
-    incomplete = (
-        (unit_price.isNull() | line_total.isNull())
-        & ~unreadable
-        & ~unfit_price
-        & ~priced["oversized"]
-    )
+def judge_item(read: Read) -> Values:
+    """Whether an item is left out (E14) and what no stored item may have."""
+    unit_price, line_total, quantity = read("unit_price"), read("line_total"), read("quantity")
+    unreadable = read("has_quantity") & quantity.isNull() & line_total.isNotNull()
+    unfit = read("oversized") | (read("derivable") & unit_price.isNull())
+    is_skipped = (unit_price.isNull() | line_total.isNull()) & ~unreadable & ~unfit
     problems = F.concat_ws(
         ", ",
-        F.when(F.coalesce(description, F.lit("")) == "", "description is empty"),
+        F.when(F.coalesce(read("description"), F.lit("")) == "", "description is empty"),
         F.when(unreadable, "quantity is not a number"),
-        F.when(~priced["has_quantity"], "quantity is missing"),
-        F.when(priced["quantity"] <= 0, "quantity is not greater than 0"),
+        F.when(~read("has_quantity"), "quantity is missing"),
+        F.when(quantity <= 0, "quantity is not greater than 0"),
         F.when(
-            priced["oversized"]
-            | unfit_price
-            | (priced["quantity"].isNotNull() & priced["exact_quantity"].isNull()),
+            unfit | (quantity.isNotNull() & read("exact_quantity").isNull()),
             "amount is out of range",
         ),
     )
-    expected = cents(priced["exact_quantity"] * unit_price)
-    actual = cents(line_total)
-    sound = ~incomplete & (problems == "")
-    return (
-        priced.withField(
-            "skipped",
-            F.when(
-                incomplete,
-                fill(
-                    fixed.ITEM_SKIPPED,
-                    position=position,
-                    description=F.coalesce(description, F.lit("None")),
-                ),
-            ),
-        )
-        .withField(
-            "error",
-            F.when(
-                ~incomplete & (problems != ""),
-                fill("Line item {position}: {problems}", position=position, problems=problems),
-            ),
-        )
-        .withField(
-            "mismatch",
-            F.when(
-                sound & (F.abs(expected - actual) > F.lit(tolerance).cast("decimal(18,2)")),
-                fill(
-                    fixed.LINE_TOTAL_MISMATCH,
-                    position=position,
-                    description=description,
-                    expected=two_places(expected),
-                    actual=two_places(actual),
-                ),
-            ),
-        )
-    )
+    return {"is_skipped": is_skipped, "problems": F.when(is_skipped, "").otherwise(problems)}
 
 
-def judged_lines(
-    items: DataFrame, tolerance: str = fixed.ROUNDING_TOLERANCE
-) -> DataFrame:
-    """For a table with one row per item: `position` and `item` (raw) become `line` (judged)."""
-    return (
-        items.withColumn("line", parse_item(F.col("position"), F.col("item")))
-        .drop("item")
-        .withColumn("line", price_item(F.col("line")))
-        .withColumn("line", judge_item(F.col("line"), tolerance))
-    )
+def word_item(read: Read, tolerance: str = fixed.ROUNDING_TOLERANCE) -> Values:
+    """The texts about one item, null where there is nothing to say."""
+    position, description = read("position"), read("description")
+    expected = cents(read("exact_quantity") * read("unit_price"))
+    actual = cents(read("line_total"))
+    differs = F.abs(expected - actual) > F.lit(tolerance).cast("decimal(18,2)")
+    sound = ~read("is_skipped") & (read("problems") == "")
+    return {
+        "skipped": F.when(
+            read("is_skipped"),
+            fill(
+                fixed.ITEM_SKIPPED,
+                position=position,
+                description=F.coalesce(description, F.lit("None")),
+            ),
+        ),
+        "error": F.when(
+            read("problems") != "",
+            fill("Line item {position}: {problems}", position=position, problems=read("problems")),
+        ),
+        "mismatch": F.when(
+            sound & differs,
+            fill(
+                fixed.LINE_TOTAL_MISMATCH,
+                position=position,
+                description=description,
+                expected=two_places(expected),
+                actual=two_places(actual),
+            ),
+        ),
+    }
 
 
-def kept(line: Column) -> Column:
-    return line["skipped"].isNull()
+def item_steps(tolerance: str) -> list[Callable[[Read], Values]]:
+    return [price_item, judge_item, lambda read: word_item(read, tolerance)]
 
 
-def stored_item(line: Column) -> Column:
-    """The part of a judged item that is stored."""
-    return F.struct(
-        *(line[n].alias(n) for n in ("position", "description", "quantity", "unit_price", "line_total"))
-    )
+def judged_lines(items: DataFrame, tolerance: str = fixed.ROUNDING_TOLERANCE) -> DataFrame:
+    """For a table with one row per item: `position` and the raw `item` become judged columns."""
+    lines = items.withColumns(parse_item(F.col("position"), F.col("item"))).drop("item")
+    for step in item_steps(tolerance):
+        lines = lines.withColumns(step(F.col))
+    return lines
 
 
-def item_aggregates() -> dict[str, Column]:
-    """Facts about all items of a document, as aggregates over `line` rows.
+def item_aggregates() -> Values:
+    """Facts about all items of a document, as aggregates over judged item rows.
 
     Only flagged items contribute to the two lists; the rest are counters that combine map-side.
     """
-    line = F.col("line")
 
-    def ordered(message: str) -> Column:
-        flagged = F.collect_list(
-            F.when(line[message].isNotNull(), F.struct(line["position"], line[message].alias("text")))
+    def entry(message: str) -> Column:
+        return F.when(
+            F.col(message).isNotNull(), F.struct("position", F.col(message).alias("text"))
         )
-        return F.transform(F.array_sort(flagged), lambda entry: entry["text"])
 
-    first_error = F.min(
-        F.when(line["error"].isNotNull(), F.struct(line["position"], line["error"].alias("text")))
-    )
+    def ordered(message: str) -> Column:
+        flagged = F.array_sort(F.collect_list(entry(message)))
+        return F.transform(flagged, lambda found: found["text"])
+
+    counted = ~F.col("is_skipped")
     return {
-        "n_items": F.count_if(kept(line)),
-        "items_sum": F.sum(F.when(kept(line), line["line_total"])).cast("decimal(38,6)"),
-        "item_error": first_error["text"],
+        "n_items": F.count_if(counted),
+        "items_sum": F.sum(F.when(counted, F.col("line_total"))).cast("decimal(38,6)"),
+        "item_error": F.min(entry("error"))["text"],
         "item_skips": ordered("skipped"),
         "item_mismatches": ordered("mismatch"),
     }
@@ -275,40 +263,48 @@ def item_facts_in_place(
     df: DataFrame, items: Column, tolerance: str = fixed.ROUNDING_TOLERANCE
 ) -> DataFrame:
     """The same facts for documents that carry their raw items as an array; adds `line_items`."""
-    texts = "array<string>"
+
+    def members(values: Values) -> list[Column]:
+        return [column.alias(name) for name, column in values.items()]
+
+    names = list(PARSED)
+    judged = df.withColumn(
+        "_lines", F.transform(items, lambda raw, i: F.struct(*members(parse_item(i + 1, raw))))
+    )
+    for step in item_steps(tolerance):
+        added: list[str] = []
+
+        def extended(line: Column) -> Column:
+            values = step(lambda name: line[name])
+            added[:] = values
+            return F.struct(*members({name: line[name] for name in names} | values))
+
+        judged = judged.withColumn("_lines", F.transform("_lines", extended))
+        names += added
 
     def messages(name: str) -> Column:
-        return F.coalesce(
-            F.array_compact(F.transform("_lines", lambda line: line[name])),
-            F.array().cast(texts),
-        )
+        found = F.array_compact(F.transform("_lines", lambda line: line[name]))
+        return F.coalesce(found, F.array().cast("array<string>"))
 
-    zero = F.lit(0).cast("decimal(38,6)")
+    wide = "decimal(38,6)"
+    stored = F.transform("_kept", lambda line: F.struct(*(line[n].alias(n) for n in STORED)))
+    no_items = F.array().cast(T.ArrayType(LINE_ITEM))
     return (
-        df.withColumn("_lines", F.transform(items, lambda raw, i: parse_item(i + 1, raw)))
-        .withColumn("_lines", F.transform("_lines", price_item))
-        .withColumn("_lines", F.transform("_lines", lambda line: judge_item(line, tolerance)))
-        .withColumn("_kept", F.filter("_lines", kept))
+        judged.withColumn("_kept", F.filter("_lines", lambda line: ~line["is_skipped"]))
         .withColumns(
             {
-                "n_items": F.greatest(F.coalesce(F.size("_kept"), F.lit(0)), F.lit(0)).cast("bigint"),
+                "n_items": F.greatest(F.size("_kept"), F.lit(0)).cast("bigint"),
                 "items_sum": F.aggregate(
                     "_kept",
-                    zero,
+                    F.lit(0).cast(wide),
                     lambda total, line: (
                         total + F.coalesce(line["line_total"], F.lit(0).cast(AMOUNT))
-                    ).cast("decimal(38,6)"),
+                    ).cast(wide),
                 ),
                 "item_error": F.try_element_at(messages("error"), F.lit(1)),
                 "item_skips": messages("skipped"),
                 "item_mismatches": messages("mismatch"),
-                "line_items": F.coalesce(
-                    F.transform("_kept", stored_item),
-                    F.array().cast(
-                        "array<struct<position:int,description:string,quantity:double,"
-                        f"unit_price:{PRICE},line_total:{AMOUNT}>>"
-                    ),
-                ),
+                "line_items": F.coalesce(stored, no_items),
             }
         )
         .drop("_lines", "_kept")

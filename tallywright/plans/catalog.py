@@ -9,7 +9,7 @@ from ..functions import dates, money
 from ..functions.text import clean_text, fill, joined
 from ..operators import audit, intake, outcome, reporting
 from ..operators.crosscheck import grand_total_mismatch, item_sum_mismatch
-from ..operators.mapping import kept, map_header
+from ..operators.mapping import map_header
 from ..operators.uniqueness import mark_first
 from ..shared import scratch_folder, stage
 from ..sources.assembly import document_totals
@@ -81,9 +81,8 @@ def line_items_flat(spark, sf_dir):
 
 @query
 def price_backfill(spark, sf_dir):
-    line = F.col("line")
-    usable = tables.lines(spark, sf_dir).filter(kept(line) & line["error"].isNull())
-    return _item_rows(usable.select(tables.source_file().alias("source_file"), "line.*"))
+    usable = tables.lines(spark, sf_dir).filter(~F.col("is_skipped") & (F.col("problems") == ""))
+    return _item_rows(usable.withColumn("source_file", tables.source_file()))
 
 
 # Mapping.
@@ -206,14 +205,11 @@ def clean_text_fields(spark, sf_dir):
 
 @query
 def line_total_check(spark, sf_dir):
-    line = F.col("line")
     return (
         tables.lines(spark, sf_dir)
-        .filter(line["mismatch"].isNotNull())
+        .filter(F.col("mismatch").isNotNull())
         .select(
-            tables.source_file().alias("source_file"),
-            line["position"].alias("position"),
-            line["mismatch"].alias("warning"),
+            tables.source_file().alias("source_file"), "position", F.col("mismatch").alias("warning")
         )
     )
 

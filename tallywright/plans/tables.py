@@ -11,11 +11,10 @@ from ..functions.text import fill
 from .. import fixed
 from ..operators.intake import suffix
 from ..operators.mapping import (
+    STORED,
     item_aggregates,
     judged_lines,
     map_header,
-    stored_item,
-    kept,
     without_items,
 )
 from ..operators.numbering import number_within
@@ -272,10 +271,10 @@ def stored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items of the stored documents: `source_file, invoice_number` and the item columns."""
     items = (
         lines(spark, sf_dir)
-        .filter(kept(F.col("line")))
-        .select("order_key", stored_item(F.col("line")).alias("_item"))
+        .filter(~F.col("is_skipped"))
+        .select("order_key", *STORED)
     )
     parents = stored_documents(spark, sf_dir, "order_key")
     return items.join(
         parents.select("order_key", "source_file", "invoice_number"), "order_key"
-    ).select("source_file", "invoice_number", "_item.*")
+    ).drop("order_key")
