@@ -10,6 +10,8 @@ SIGNATURE = "%PDF-"
 SIGNATURE_WINDOW = 1024
 ENCRYPTION_MARK = "/Encrypt"
 
+EMPTY_FILE = "empty file"
+
 # Pages of one file that share a text row; longer files get further rows.
 PAGES_PER_PART = 1000
 
@@ -26,7 +28,7 @@ def suffix(name: Column) -> Column:
 def unopenable_detail(length: Column, head: Column) -> Column:
     """Why a file cannot be opened, or null. `head` is its first bytes."""
     text = F.decode(F.substring(head, 1, SIGNATURE_WINDOW), "ISO-8859-1")
-    return F.when(length == 0, "empty file").when(
+    return F.when(length == 0, EMPTY_FILE).when(
         F.instr(text, SIGNATURE) == 0, f"no {SIGNATURE} signature"
     )
 

@@ -229,34 +229,54 @@ def judged_lines(items: DataFrame, tolerance: str = fixed.ROUNDING_TOLERANCE) ->
     return lines
 
 
+# What a finding about an item is, in the flagged list of its document.
+SKIPPED, BROKEN, MISMATCHED = "skipped", "error", "mismatch"
+
+
 def item_aggregates() -> Values:
     """Facts about all items of a document, as aggregates over judged item rows.
 
-    Only flagged items contribute to the two lists; the rest are counters that combine map-side.
+    Only flagged items enter the list; the rest are counters that combine map-side. An item has at
+    most one finding, so its position orders the list.
     """
-
-    def entry(message: str) -> Column:
-        return F.when(
-            F.col(message).isNotNull(), F.struct("position", F.col(message).alias("text"))
-        )
-
-    def ordered(message: str) -> Column:
-        flagged = F.array_sort(F.collect_list(entry(message)))
-        return F.transform(flagged, lambda found: found["text"])
-
+    kind = F.coalesce(
+        *(F.when(F.col(name).isNotNull(), name) for name in (SKIPPED, BROKEN, MISMATCHED))
+    )
+    finding = F.struct(
+        "position",
+        kind.alias("kind"),
+        F.coalesce(SKIPPED, BROKEN, MISMATCHED).alias("text"),
+    )
     counted = ~F.col("is_skipped")
     return {
         "n_items": F.count_if(counted),
         "items_sum": F.sum(F.when(counted, F.col("line_total"))).cast("decimal(38,6)"),
-        "item_error": F.min(entry("error"))["text"],
-        "item_skips": ordered("skipped"),
-        "item_mismatches": ordered("mismatch"),
+        "flagged_items": F.collect_list(F.when(kind.isNotNull(), finding)),
     }
 
 
+def with_item_findings(facts: DataFrame) -> DataFrame:
+    """Split `flagged_items` into the texts of each kind, in item order; absent means none."""
+    flagged = F.array_sort("flagged_items")
+
+    def texts(kind: str) -> Column:
+        of_kind = F.filter(flagged, lambda found: found["kind"] == kind)
+        found = F.transform(of_kind, lambda entry: entry["text"])
+        return F.coalesce(found, F.array().cast("array<string>"))
+
+    return facts.withColumns(
+        {
+            "n_items": F.coalesce("n_items", F.lit(0).cast("bigint")),
+            "item_error": F.try_element_at(texts(BROKEN), F.lit(1)),
+            "item_skips": texts(SKIPPED),
+            "item_mismatches": texts(MISMATCHED),
+        }
+    ).drop("flagged_items")
+
+
 def item_facts(lines: DataFrame, key: str = "source_file") -> DataFrame:
     aggregates = [column.alias(name) for name, column in item_aggregates().items()]
-    return lines.groupBy(key).agg(*aggregates)
+    return with_item_findings(lines.groupBy(key).agg(*aggregates))
 
 
 def item_facts_in_place(
@@ -311,18 +331,6 @@ def item_facts_in_place(
     )
 
 
-def without_items(df: DataFrame) -> DataFrame:
-    """After a left join with `item_facts`: a document without item rows has empty facts."""
-    empty = F.array().cast("array<string>")
-    return df.withColumns(
-        {
-            "n_items": F.coalesce("n_items", F.lit(0).cast("bigint")),
-            "item_skips": F.coalesce("item_skips", empty),
-            "item_mismatches": F.coalesce("item_mismatches", empty),
-        }
-    )
-
-
 def extraction_warnings(threshold: float = fixed.CONFIDENCE_THRESHOLD) -> Column:
     """Warnings of the mapping step in their fixed order (E8, E14, E15, E9: E16)."""
     mean = F.col("confidence_mean")

@@ -29,10 +29,11 @@ def mark_first(
 ) -> DataFrame:
     """Add `is_first` to documents without a reason yet; false for everything else.
 
-    Joins back on the file name, which is unique, and not on the number, which may be hot.
+    Joins back on the file name, which is unique, and not on the number, which may be hot. There
+    are about as many winners as documents, so neither side is one to broadcast.
     """
     open_cases = df.filter(F.col("reason").isNull()).select("invoice_number", "source_file")
     winners = first_files(open_cases, stored_numbers).withColumn("is_first", F.lit(True))
-    return df.join(winners, "source_file", "left").withColumn(
+    return df.join(winners.hint("merge"), "source_file", "left").withColumn(
         "is_first", F.coalesce("is_first", F.lit(False))
     )

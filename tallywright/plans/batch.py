@@ -90,9 +90,10 @@ def run_batch(
     run_id: str,
     as_of: Column | None = None,
     read_written: bool = False,
+    manifest: DataFrame | None = None,
 ) -> DataFrame:
-    """The whole run over a folder; returns the one-row summary."""
-    listed = intake_verdict(triage_folder(spark, documents_folder, pages))
+    """The whole run over a folder, or over the names of a manifest; returns the summary row."""
+    listed = intake_verdict(triage_folder(spark, documents_folder, pages, manifest))
     answered = attach_responses(listed, read_responses(spark, responses_folder))
     evaluated = evaluate(answered, as_of, read_written=read_written)
     return summary(commit_run(spark, evaluated, root, run_id))

@@ -15,7 +15,7 @@ from ..operators.mapping import (
     item_aggregates,
     judged_lines,
     map_header,
-    without_items,
+    with_item_findings,
 )
 from ..operators.numbering import number_within
 from ..operators.outcome import reject_taken_numbers
@@ -105,14 +105,13 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged_lines(raw_items(numbered_lines(spark, sf_dir)))
 
 
-def order_facts() -> dict[str, Column]:
-    """What a document takes from its line rows besides the item rules; needs no positions."""
-    first_line = F.min(F.struct(*LINE_ORDER[:3]))
+def order_facts(first_supplier: Column) -> dict[str, Column]:
+    """What a document takes from its line rows besides the item rules."""
     return {
         "n_lines": F.count("*"),
         "lines_sum": F.sum(F.col("l_extendedprice").cast(CENTS)).cast(CENTS),
         "first_ship": F.min("l_shipdate"),
-        "first_supplier": first_line["l_suppkey"],
+        "first_supplier": first_supplier,
     }
 
 
@@ -150,7 +149,9 @@ def headers(
         )
         .select(F.col("s_suppkey").alias("first_supplier"), "s_name", "n_name")
     )
-    documents = orders.join(facts, "order_key", "left").join(suppliers, "first_supplier", "left")
+    # As many facts as orders: never a side to broadcast, and already partitioned by order.
+    documents = orders.join(facts.hint("merge"), "order_key", "left")
+    documents = documents.join(suppliers, "first_supplier", "left")
     customer_name = F.lit(None).cast("string")
     if customers:
         names = table(spark, sf_dir, "customer").select(
@@ -226,15 +227,18 @@ def named(documents: DataFrame) -> DataFrame:
 
 def header_documents(spark: SparkSession, sf_dir: str, customers: bool = False) -> DataFrame:
     """Documents for rules that look at no single item: lines are only summed, not numbered."""
+    first_line = F.min(F.struct(*LINE_ORDER[:3]))
+    aggregates = order_facts(first_line["l_suppkey"])
     facts = trade_lines(spark, sf_dir).groupBy("order_key").agg(
-        *(column.alias(name) for name, column in order_facts().items())
+        *(column.alias(name) for name, column in aggregates.items())
     )
     return named(headers(spark, sf_dir, facts, customers))
 
 
 def facts_of(judged: DataFrame) -> DataFrame:
     """All facts of an order in one aggregation; unused ones are pruned by the optimizer."""
-    aggregates = order_facts() | item_aggregates()
+    first_supplier = F.max(F.when(F.col("position") == 1, F.col("l_suppkey")))
+    aggregates = order_facts(first_supplier) | item_aggregates()
     return judged.groupBy("order_key").agg(*(column.alias(n) for n, column in aggregates.items()))
 
 
@@ -243,7 +247,7 @@ def judged_documents(
 ) -> DataFrame:
     """All documents with warnings, reasons, issues and status, before numbers compete."""
     facts = facts_of(lines(spark, sf_dir) if judged is None else judged)
-    documents = without_items(named(headers(spark, sf_dir, facts, customers)))
+    documents = with_item_findings(named(headers(spark, sf_dir, facts, customers)))
     return judge(map_header(documents), F.lit(AS_OF).cast("date"))
 
 

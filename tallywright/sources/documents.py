@@ -2,43 +2,55 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.intake import byte_facts, file_name, page_facts, triage
+from ..operators.intake import EMPTY_FILE, byte_facts, file_name, page_facts, triage
 
 # Fixed value: the listing takes this pattern as written, lower case, one folder deep.
 PATTERN = "*.pdf"
 
 
 def list_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """`binaryFile` rows; `content` is read only by steps that select it."""
+    """`binaryFile` rows; `content` is read only by steps that select it.
+
+    Spark leaves files of zero bytes out of every listing. A manifest (see `triage_folder`) brings
+    them back, so that they are rejected by name and not overlooked.
+    """
     return spark.read.format("binaryFile").option("pathGlobFilter", PATTERN).load(folder)
 
 
-def triage_folder(spark: SparkSession, folder: str, pages: DataFrame) -> DataFrame:
-    """Every listed file with its first failure reason. `pages`: see `page_facts`."""
+def triage_folder(
+    spark: SparkSession, folder: str, pages: DataFrame, manifest: DataFrame | None = None
+) -> DataFrame:
+    """Every listed file with its first failure reason. `pages`: see `page_facts`.
+
+    With a `manifest` (`source_file, length`, such as a storage inventory) its names are the files
+    of the run instead: those not on disk fail as missing, those of length zero as empty.
+    """
     files = byte_facts(list_documents(spark, folder)).withColumn(
         "source_file", file_name(F.col("path"))
     )
-    return triage_listing(files, pages)
+    if manifest is None:
+        return triage_listed(files.withColumn("on_disk", F.lit(True)), pages)
+    return triage_manifest(manifest, files.drop("length"), pages)
 
 
-def triage_listing(files: DataFrame, pages: DataFrame) -> DataFrame:
-    counted = page_facts(pages).withColumnRenamed("is_encrypted", "page_encrypted")
-    joined = (
-        files.withColumn("on_disk", F.lit(True))
-        .join(counted, "source_file", "left")
-        .withColumn("is_encrypted", F.col("is_encrypted") | F.coalesce("page_encrypted", F.lit(False)))
-        .drop("page_encrypted")
+def triage_manifest(manifest: DataFrame, files: DataFrame, pages: DataFrame) -> DataFrame:
+    """For expected names that may be absent (T1). `files` as from `byte_facts`."""
+    facts = files.select("source_file", "open_error", "is_encrypted").withColumn(
+        "listed", F.lit(True)
     )
-    return triage(joined)
+    listed = F.coalesce("listed", F.lit(False))
+    is_empty = F.col("length") == 0 if "length" in manifest.columns else F.lit(False)
+    expected = manifest.join(facts, "source_file", "left").withColumns(
+        {
+            "on_disk": listed | F.coalesce(is_empty, F.lit(False)),
+            "open_error": F.when(~listed & is_empty, EMPTY_FILE).otherwise(F.col("open_error")),
+        }
+    )
+    return triage_listed(expected.drop("listed"), pages)
 
 
-def triage_manifest(manifest: DataFrame, files: DataFrame, pages: DataFrame) -> DataFrame:
-    """For expected names that may be absent (T1): `manifest` has `source_file`."""
-    facts = files.select("source_file", "open_error", "is_encrypted", F.lit(True).alias("on_disk"))
-    counted = page_facts(pages).drop("is_encrypted")
-    joined = (
-        manifest.join(facts, "source_file", "left")
-        .withColumn("on_disk", F.coalesce("on_disk", F.lit(False)))
-        .join(counted, "source_file", "left")
-    )
-    return triage(joined)
+def triage_listed(files: DataFrame, pages: DataFrame) -> DataFrame:
+    counted = page_facts(pages).withColumnRenamed("is_encrypted", "page_encrypted")
+    encrypted = F.coalesce("is_encrypted", F.lit(False)) | F.coalesce("page_encrypted", F.lit(False))
+    joined = files.join(counted, "source_file", "left").withColumn("is_encrypted", encrypted)
+    return triage(joined.drop("page_encrypted"))
