@@ -113,9 +113,9 @@ def map_header(df: DataFrame, threshold: float = fixed.CONFIDENCE_THRESHOLD) ->
     ).drop("fields")
 
 
-# Items, one at a time: raw -> parsed -> priced -> judged -> worded. Each step takes a way to read
-# the values so far (`F.col` for a table of items, a member of the lambda variable for an array)
-# and returns the new ones by name.
+# Items, one at a time: raw -> parsed -> priced -> judged -> worded. Each step reads the values so
+# far by name and returns the new ones. The steps run inside `transform`, where every value is
+# computed once however often later steps and filters mention it.
 
 Values = dict[str, Column]
 Read = Callable[[str], Column]
@@ -217,18 +217,41 @@ def word_item(read: Read, tolerance: str = fixed.ROUNDING_TOLERANCE) -> Values:
     }
 
 
-def item_steps(tolerance: str) -> list[Callable[[Read], Values]]:
-    return [price_item, judge_item, lambda read: word_item(read, tolerance)]
+def judge_entries(entries: Column, tolerance: str = fixed.ROUNDING_TOLERANCE) -> Column:
+    """Array of `(position, item)` to array of judged items, through all steps."""
 
+    def members(values: Values) -> Column:
+        return F.struct(*(column.alias(name) for name, column in values.items()))
 
-def judged_lines(items: DataFrame, tolerance: str = fixed.ROUNDING_TOLERANCE) -> DataFrame:
-    """For a table with one row per item: `position` and the raw `item` become judged columns."""
-    lines = items.withColumns(parse_item(F.col("position"), F.col("item"))).drop("item")
-    for step in item_steps(tolerance):
-        lines = lines.withColumns(step(F.col))
+    known = list(PARSED)
+    lines = F.transform(entries, lambda e: members(parse_item(e["position"], e["item"])))
+    steps = (price_item, judge_item, lambda read: word_item(read, tolerance))
+    for step in steps:
+        added: list[str] = []
+
+        def extended(line: Column) -> Column:
+            values = step(lambda name: line[name])
+            added[:] = values
+            return members({name: line[name] for name in known} | values)
+
+        lines = F.transform(lines, extended)
+        known += added
     return lines
 
 
+def judged_lines(items: DataFrame, tolerance: str = fixed.ROUNDING_TOLERANCE) -> DataFrame:
+    """For a table with one row per item: `position` and the raw `item` become judged columns.
+
+    The row goes through `judge_entries` as an array of one. Unpacking it is also where filters on
+    judged columns stop: pushed further down, each would repeat all the parsing it depends on.
+    """
+    entry = F.array(F.struct("position", "item"))
+    return items.select(
+        *(name for name in items.columns if name not in ("position", "item")),
+        F.inline_outer(judge_entries(entry, tolerance)),
+    )
+
+
 # What a finding about an item is, in the flagged list of its document.
 SKIPPED, BROKEN, MISMATCHED = "skipped", "error", "mismatch"
 
@@ -283,24 +306,10 @@ def item_facts_in_place(
     df: DataFrame, items: Column, tolerance: str = fixed.ROUNDING_TOLERANCE
 ) -> DataFrame:
     """The same facts for documents that carry their raw items as an array; adds `line_items`."""
-
-    def members(values: Values) -> list[Column]:
-        return [column.alias(name) for name, column in values.items()]
-
-    names = list(PARSED)
-    judged = df.withColumn(
-        "_lines", F.transform(items, lambda raw, i: F.struct(*members(parse_item(i + 1, raw))))
+    entries = F.transform(
+        items, lambda raw, i: F.struct((i + 1).alias("position"), raw.alias("item"))
     )
-    for step in item_steps(tolerance):
-        added: list[str] = []
-
-        def extended(line: Column) -> Column:
-            values = step(lambda name: line[name])
-            added[:] = values
-            return F.struct(*members({name: line[name] for name in names} | values))
-
-        judged = judged.withColumn("_lines", F.transform("_lines", extended))
-        names += added
+    judged = df.withColumn("_lines", judge_entries(entries, tolerance))
 
     def messages(name: str) -> Column:
         found = F.array_compact(F.transform("_lines", lambda line: line[name]))
