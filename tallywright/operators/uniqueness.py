@@ -2,6 +2,9 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+# Distinct numbers a run may send to every task of the lookup in the store; tens of megabytes.
+BROADCAST_NUMBERS = 500_000
+
 
 def invoice_key(number: Column) -> Column:
     """Stable id from the number itself: no counter, no global order."""
@@ -24,6 +27,21 @@ def first_files(
     return firsts.select("source_file")
 
 
+def stored_among(
+    stored_numbers: DataFrame, candidates: DataFrame, broadcast_limit: int = BROADCAST_NUMBERS
+) -> DataFrame:
+    """The stored numbers that matter for `candidates`, whose `invoice_number` must be cheap to read.
+
+    The store grows without end while a run is often small. Up to `broadcast_limit` distinct numbers
+    (counted, not guessed) travel to the store, which is then read by column and never shuffled.
+    A larger run leaves the store as it is, for a join that shuffles both sides.
+    """
+    numbers = candidates.select("invoice_number").filter("invoice_number IS NOT NULL").distinct()
+    if numbers.limit(broadcast_limit + 1).count() > broadcast_limit:
+        return stored_numbers
+    return stored_numbers.join(F.broadcast(numbers), "invoice_number", "left_semi")
+
+
 def mark_first(
     df: DataFrame, stored_numbers: DataFrame | None = None
 ) -> DataFrame:

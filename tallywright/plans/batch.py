@@ -13,7 +13,7 @@ from ..operators.mapping import (
 )
 from ..operators.outcome import outcomes, reject_taken_numbers, summary
 from ..operators.plausibility import assess
-from ..operators.uniqueness import mark_first
+from ..operators.uniqueness import mark_first, stored_among
 from ..shared import stage
 from ..sources import store
 from ..sources.documents import triage_folder
@@ -72,7 +72,8 @@ def commit_run(spark: SparkSession, evaluated: DataFrame, root: str, run_id: str
     same `run_id` after any failure gives the same tables.
     """
     staged = stage(evaluated, f"evaluated-{run_id}")
-    others = store.numbers_of_other_runs(spark, root, run_id)
+    numbers = staged.filter(F.col("reason").isNull())
+    others = stored_among(store.numbers_of_other_runs(spark, root, run_id), numbers)
     decided = reject_taken_numbers(mark_first(staged, others))
     store.write_invoices(decided.filter(F.col("reason").isNull()), root, run_id)
     store.write_outcomes(outcomes(decided), root, run_id)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tallywright.operators.uniqueness import mark_first
+from tallywright.operators.uniqueness import mark_first, stored_among
 
 
 def documents(spark):
@@ -37,3 +37,18 @@ def test_stored_numbers_win_over_arrivals(spark):
 def test_number_is_reduced_before_it_is_shuffled(spark):
     plan = mark_first(documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan and "Window" not in plan
+
+
+def test_lookup_in_the_store_is_the_same_either_way(spark):
+    stored = spark.range(300).select(F.concat(F.lit("N"), F.col("id")).alias("invoice_number"))
+    found = [
+        sorted(r.source_file for r in mark_first(documents(spark), known).filter("is_first").collect())
+        for known in (
+            stored,
+            stored_among(stored, documents(spark)),
+            stored_among(stored, documents(spark), broadcast_limit=3),
+        )
+    ]
+    assert found[0] == found[1] == found[2] != []
+    plan = stored_among(stored, documents(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
