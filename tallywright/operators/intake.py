@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed
 from ..functions.text import fill, has_text
+from .numbering import LARGE_GROUP, number_within
 
 # How a document of the right kind starts, and how far in the mark may stand.
 SIGNATURE = "%PDF-"
@@ -56,16 +57,23 @@ def page_facts(pages: DataFrame) -> DataFrame:
     )
 
 
-def text_layer(pages: DataFrame, pages_per_part: int = PAGES_PER_PART) -> DataFrame:
+def text_layer(
+    pages: DataFrame, pages_per_part: int = PAGES_PER_PART, large_file: int = LARGE_GROUP
+) -> DataFrame:
     """Page texts of each file in page order, no separator.
 
     A file is one row (`part` 0) up to `pages_per_part` pages and continues in further rows after
-    that, so no group grows with the file. Concatenating parts in order gives the whole text.
+    that, so no group grows with the file. Concatenating parts in order gives the whole text. Pages
+    are counted off by position, which also bounds a part where page numbers repeat.
     """
-    ordered = F.array_sort(F.collect_list(F.struct("page_no", "text")))
-    part = F.floor(F.col("page_no") / pages_per_part).cast("int")
+    texts = pages.select("source_file", "page_no", "text")
+    numbered = number_within(
+        texts, "source_file", ["page_no", "text"], large_group=large_file, counted=pages
+    )
+    part = F.floor((F.col("position") - 1) / pages_per_part).cast("int")
+    ordered = F.array_sort(F.collect_list(F.struct("position", "text")))
     return (
-        pages.groupBy("source_file", part.alias("part"))
+        numbered.groupBy("source_file", part.alias("part"))
         .agg(ordered.alias("_pages"), F.bool_or(has_text(F.col("text"))).alias("part_has_text"))
         .select(
             "source_file",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import fixed
 from ..functions import dates, money
-from ..functions.text import clean_text, fill, joined
+from ..functions.text import clean_text as collapse_spaces, fill, joined
 from ..operators import audit, intake, outcome, reporting
 from ..operators.crosscheck import grand_total_mismatch, item_sum_mismatch
 from ..operators.mapping import map_header
@@ -52,6 +52,7 @@ def assemble_invoices(spark, sf_dir):
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     date = F.col("o_orderdate").cast("date")
+    totals = totals.hint("merge")
     return orders.join(totals, orders.o_orderkey == totals.l_orderkey, "left").select(
         F.col("o_orderkey").alias("order_key"),
         dates.iso(date).alias("invoice_date"),
@@ -194,10 +195,10 @@ def json_fields(spark, sf_dir):
 
 
 @query
-def clean_text_fields(spark, sf_dir):
+def clean_text(spark, sf_dir):
     """Runs of mixed spaces are put into every text first, then cleaned away again."""
     spaced = F.concat(F.lit("  "), F.replace(F.col("text"), F.lit(" "), F.lit("  \t ")), F.lit("\x1c\n"))
-    cleaned = clean_text(spaced)
+    cleaned = collapse_spaces(spaced)
     return table(spark, sf_dir, "documents").select(
         "doc_id", cleaned.alias("text"), F.length(cleaned).cast("bigint").alias("n_chars")
     )

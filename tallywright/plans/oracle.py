@@ -259,7 +259,7 @@ ORACLE: dict[str, str] = {
                     THEN 'Extraction failed: analysis did not recognize this file as an invoice'
                     ELSE '' END AS reason
         FROM events""",
-    "clean_text_fields": f"""
+    "clean_text": f"""
         SELECT doc_id, t AS text, length(t) AS n_chars
         FROM (SELECT doc_id, trim(regexp_replace(text, '{CLASS}', ' ', 'g')) AS t FROM documents)""",
     "line_total_check": _q(
@@ -350,10 +350,12 @@ ORACLE: dict[str, str] = {
     ),
     "text_layer": _q(
         TRIAGE,
-        """SELECT source_file, CAST(turn // 1000 AS INTEGER) AS part, count(*) AS n_pages,
-             string_agg(CASE WHEN c % 7 = 0 THEN '   ' ELSE text END, '' ORDER BY turn) AS text,
-             bool_or(c % 7 <> 0 AND trim(text) <> '') AS part_has_text
-           FROM files JOIN conversations ON conv_id = c WHERE reason = 'OK' GROUP BY 1, 2""",
+        """SELECT source_file, CAST((n - 1) // 1000 AS INTEGER) AS part, count(*) AS n_pages,
+             string_agg(page, '' ORDER BY n) AS text, bool_or(trim(page) <> '') AS part_has_text
+           FROM (SELECT source_file, page, row_number() OVER (PARTITION BY c ORDER BY turn, page) AS n
+                 FROM (SELECT source_file, c, turn, CASE WHEN c % 7 = 0 THEN '   ' ELSE text END AS page
+                       FROM files JOIN conversations ON conv_id = c WHERE reason = 'OK'))
+           GROUP BY 1, 2""",
     ),
     "german_amount": f"SELECT o_orderkey AS order_key, {GERMAN} AS amount_text FROM orders",
     "date_rendering": """

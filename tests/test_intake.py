@@ -94,5 +94,10 @@ def test_text_layer_is_whole_and_in_page_order(spark):
     one = {r.source_file: r for r in intake.text_layer(pages).collect()}
     assert one["a"].text == "<0><1><2><3><11><12>"
     assert one["b"].text == "" and not one["b"].part_has_text
-    parts = intake.text_layer(pages.filter("source_file = 'a'"), pages_per_part=10).orderBy("part")
-    assert [r.text for r in parts.collect()] == ["<0><1><2><3>", "<11><12>"]
+    long = pages.filter("source_file = 'a'")
+    for options in ({}, {"large_file": 2}):
+        parts = intake.text_layer(long, pages_per_part=4, **options).orderBy("part").collect()
+        assert [(r.part, r.n_pages, r.text) for r in parts] == [
+            (0, 4, "<0><1><2><3>"),
+            (1, 2, "<11><12>"),
+        ]
