@@ -34,5 +34,5 @@ def due_date_of(invoice_date: Column) -> Column:
     return F.make_date(F.year(invoice_date), F.month(invoice_date), day)
 
 
-def iso(value: Column) -> Column:
-    return F.date_format(value, ISO)
+def iso(value: Column | str) -> Column:
+    return (F.col(value) if isinstance(value, str) else value).cast("string")

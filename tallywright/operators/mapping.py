@@ -223,20 +223,16 @@ def judge_entries(entries: Column, tolerance: str = fixed.ROUNDING_TOLERANCE) ->
     def members(values: Values) -> Column:
         return F.struct(*(column.alias(name) for name, column in values.items()))
 
-    known = list(PARSED)
-    lines = F.transform(entries, lambda e: members(parse_item(e["position"], e["item"])))
-    steps = (price_item, judge_item, lambda read: word_item(read, tolerance))
-    for step in steps:
-        added: list[str] = []
-
-        def extended(line: Column) -> Column:
-            values = step(lambda name: line[name])
-            added[:] = values
-            return members({name: line[name] for name in known} | values)
+    def extended(step: Callable[[Read], Values], carried: tuple[str, ...]):
+        return lambda line: members(
+            {name: line[name] for name in carried} | step(lambda name: line[name])
+        )
 
-        lines = F.transform(lines, extended)
-        known += added
-    return lines
+    lines = F.transform(entries, lambda e: members(parse_item(e["position"], e["item"])))
+    lines = F.transform(lines, extended(price_item, PARSED))
+    lines = F.transform(lines, extended(judge_item, (*STORED, "exact_quantity")))
+    word = extended(lambda read: word_item(read, tolerance), (*STORED, "is_skipped", "problems"))
+    return F.transform(lines, word)
 
 
 def judged_lines(items: DataFrame, tolerance: str = fixed.ROUNDING_TOLERANCE) -> DataFrame:
@@ -280,7 +276,7 @@ def item_aggregates() -> Values:
 
 def with_item_findings(facts: DataFrame) -> DataFrame:
     """Split `flagged_items` into the texts of each kind, in item order; absent means none."""
-    flagged = F.array_sort("flagged_items")
+    flagged = F.sort_array("flagged_items")
 
     def texts(kind: str) -> Column:
         of_kind = F.filter(flagged, lambda found: found["kind"] == kind)
