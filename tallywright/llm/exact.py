@@ -11,7 +11,8 @@ sorted once per batch, not once per document, and only one copy of a text travel
 
 Nulls and odd rows: a null text counts as empty, and all empty texts are equal; a null doc_id is smaller
 than any other; of repeated rows with one doc_id and one text, exactly one stays; an empty table gives
-an empty result. Columns other than `doc_id, text` are not read.
+an empty result. Columns other than
+`row, doc_id, text` are not read; `row` tells rows apart and is added where it is missing.
 """
 
 from collections.abc import Iterator
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .tasks import ship, staged, whole_text
+from .tasks import drop_rows, ship, staged, whole_text
 
 BLOCK_BYTES = 4096
 # Bytes of distinct blocks after which a task starts a new dictionary.
@@ -41,7 +42,7 @@ def _named_locally(block_bytes: int, batch_bytes: int):
         held = 0
         for batch in batches:
             rows: list[tuple] = []
-            for key, text in zip(batch["doc_id"], batch["text"]):
+            for number, key, text in zip(batch["row"], batch["doc_id"], batch["text"]):
                 data = text.as_py().encode().lower()  # bytes lower A-Z only
                 level, row = 0, []
                 for at in range(0, len(data) or 1, block_bytes):
@@ -65,8 +66,7 @@ def _named_locally(block_bytes: int, batch_bytes: int):
                         paired.append(known[pair])
                     row = paired
                 digest = sha256(data).hexdigest()
-                rows.append(("doc", level, row[0], None, free, None, key.as_py(), digest, len(data)))
-                free += 1
+                rows.append(("doc", level, row[0], None, number.as_py(), None, key.as_py(), digest, len(data)))
             arrays = [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)]
             if rows:
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
@@ -88,7 +88,11 @@ def name_documents(
 ) -> DataFrame:
     """`row, doc_id, sha256, n_bytes, identity`: equal texts, and only those, share `identity`."""
     ship(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    texts = docs.select(
+        "row" if "row" in docs.columns else F.monotonically_increasing_id().alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        whole_text().alias("text"),
+    )
     local = texts.mapInArrow(_named_locally(block_bytes, batch_bytes), NAMED)
     local = staged(local, "block-names", "kind")
     top = local.filter("kind = 'doc'").agg(F.max("level")).first()[0] or 0
@@ -131,6 +135,15 @@ def exact_groups(docs: DataFrame, **how) -> DataFrame:
     )
 
 
+def without_copies(docs: DataFrame, **how) -> DataFrame:
+    """`docs`, all columns, with one row of each group of equal texts.
+
+    `docs` is a written table: its rows are numbered twice, as they are read.
+    """
+    groups = exact_groups(docs.withColumn("row", F.monotonically_increasing_id()), **how)
+    return drop_rows(docs, groups.filter("NOT kept"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its group of equal texts and whether it stays."""
     return exact_groups(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("row")

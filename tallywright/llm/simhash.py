@@ -1,19 +1,22 @@
 """SimHash near-duplicates by tiled exact comparison.
 
-Distinct fingerprints are compared in tiles with numpy exclusive-or and bit counts. Within `radius`
-differing bits, two fingerprints agree on at least one of `radius + 1` equal stretches of their bits, so
-tiles hold fingerprints that agree on a prefix of one stretch; the prefix gets longer with the number of
-fingerprints, so a tile keeps its size while the data grow. What is more than one tile under one prefix is
-dealt to several by a hash, and each pair of those tiles is compared in a task of its own. Inside a pair
-the fingerprints are sorted by bit count, and those whose counts differ beyond the radius are skipped.
+Distinct fingerprints are compared in tiles with numpy exclusive-or and bit counts; inside a pair of tiles
+they are sorted by bit count, and those whose counts differ beyond the radius are skipped. Two kinds of
+tiles are made, and both lose no link:
 
-A tile pair returns the links of a spanning forest, not all pairs; no link between different
-fingerprints is lost for the components.
+* By prefix, for a small radius: within `radius` differing bits two fingerprints agree on at least one of
+  `radius + 1` equal stretches of their bits, so tiles hold fingerprints with one prefix of one stretch.
+  The prefix gets longer with the number of fingerprints, so a tile keeps its size while the data grow.
+* By length, for a large radius, where no prefix is shared: texts whose numbers of shingles differ by more
+  than `ratio` are not that similar, so tiles hold texts of one length and the next.
+
+What is more than one tile under one key is dealt to several by a hash, and each pair of those tiles is
+compared in a task of its own. A pair returns the links of a spanning forest, not all pairs.
 
 Nulls and odd rows: a null text is empty, texts without words share the fingerprint zero; rows with null
 doc_id are linked like others and have no say in the component's id unless the whole component is null;
 repeated rows are linked to each other; an empty table gives an empty result. Columns other than
-`doc_id, text` are not read.
+`row, doc_id, text` are not read. `row` tells rows apart and is added where it is missing.
 """
 
 from collections.abc import Iterator
@@ -23,160 +26,209 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .components import components
-from .tasks import ship, staged, whole_text
+from .tasks import drop_rows, ship, staged, whole_text
+from .words import mixed
 
 SEED = 42
 WORDS = 3
 RADIUS = 3
-BITS = 64
+WORD_BITS = 64
 # Fingerprints in one tile.
 TILE = 2048
 
+# Near copies for a corpus: five words, similarity 0.8. Texts of similarity 0.8 differ in 39 of 256 bits,
+# give or take 6; 50 bits are 0.69.
+NEAR_WORDS, NEAR_BITS, NEAR_RADIUS, NEAR_TILE, NEAR_RATIO = 5, 256, 50, 32_768, 0.8
+# What their first 64 bits may differ in: 10 at similarity 0.8, give or take 3.
+FIRST_WORD_RADIUS = 20
+
+
+def fingerprint(text: str, words: int = WORDS, bits: int = WORD_BITS) -> tuple[list[int], int]:
+    """The fingerprint as 64-bit words, and the number of shingles.
 
-def fingerprint(text: str, words: int = WORDS) -> int:
-    """Bits set in over half of the XXH64 of all word shingles, repeats included."""
+    A bit is set if it is set in over half of the hashes of all word shingles, repeats included. The
+    first word takes the XXH64 itself, further ones what a mixing function makes of it.
+    """
     from xxhash import xxh64_intdigest
 
     found = text.encode().lower().split()  # bytes lower A-Z and split at ASCII white space only
     if not found:
-        return 0
-    if len(found) <= words:
-        return xxh64_intdigest(b" ".join(found), SEED)
+        return [0] * (bits // WORD_BITS), 0
     data = b" ".join(found)
-    ends = np.cumsum([len(word) + 1 for word in found]) - 1
-    starts = np.concatenate([[0], ends[: -words] + 1]).tolist()
-    hashes = np.array(
-        [xxh64_intdigest(data[a:b], SEED) for a, b in zip(starts, ends[words - 1 :].tolist())], np.uint64
-    )
-    by_byte = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)
-    ones = np.zeros(BITS, np.int64)
-    for place in range(8):
-        ones[8 * place : 8 * place + 8] = np.bincount(by_byte[:, place], minlength=256) @ _BYTE_BITS
-    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
+    if len(found) <= words:
+        digests = [xxh64_intdigest(data, SEED)]
+    else:
+        ends = np.cumsum([len(word) + 1 for word in found]) - 1
+        starts = np.concatenate([[0], ends[:-words] + 1]).tolist()
+        digests = [xxh64_intdigest(data[a:b], SEED) for a, b in zip(starts, ends[words - 1 :].tolist())]
+    hashes = np.array(digests, "<u8")
+    out = []
+    for number in range(bits // WORD_BITS):
+        by_byte = (mixed(hashes + np.uint64(number)) if number else hashes).view(np.uint8).reshape(-1, 8)
+        ones = [np.bincount(by_byte[:, place], minlength=256) @ _BYTE_BITS for place in range(8)]
+        out.append(int(np.packbits(np.concatenate(ones) * 2 > len(hashes), bitorder="little").view("<u8")[0]))
+    return out, len(hashes)
 
 
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """`row, doc_id, fp`, written out; `fp` is the fingerprint as a signed 64-bit integer."""
+def fingerprints(docs: DataFrame, words: int = WORDS, bits: int = WORD_BITS) -> DataFrame:
+    """`row, doc_id, fp, size`, written out; `fp` is an array of signed 64-bit integers."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(text.as_py(), words) for text in batch["text"]]
-            signed = np.array(found, np.uint64).view(np.int64)
+            found = [fingerprint(text.as_py(), words, bits) for text in batch["text"]]
+            signed = [np.array(fp, np.uint64).view(np.int64).tolist() for fp, _ in found]
             yield pa.RecordBatch.from_arrays(
-                [batch["row"], batch["doc_id"], pa.array(signed, pa.int64())], names=["row", "doc_id", "fp"]
+                [
+                    batch["row"],
+                    batch["doc_id"],
+                    pa.array(signed, pa.list_(pa.int64())),
+                    pa.array([size for _, size in found], pa.int64()),
+                ],
+                names=["row", "doc_id", "fp", "size"],
             )
 
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
+        "row" if "row" in docs.columns else F.monotonically_increasing_id().alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
         whole_text().alias("text"),
     )
-    return staged(rows.mapInArrow(run, "row long, doc_id long, fp long"), "fingerprints")
+    return staged(rows.mapInArrow(run, "row long, doc_id long, fp array<long>, size long"), "fingerprints")
 
 
 def stretches(radius: int) -> list[tuple[int, int]]:
-    """First bit and width of `radius + 1` stretches that cover all bits."""
-    cuts = [round(BITS * i / (radius + 1)) for i in range(radius + 2)]
+    """First bit and width of `radius + 1` stretches that cover 64 bits."""
+    cuts = [round(WORD_BITS * i / (radius + 1)) for i in range(radius + 2)]
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
-def compare_tiles(left: np.ndarray, right: np.ndarray | None, radius: int) -> list[tuple[int, int]]:
-    """Links of a spanning forest over the fingerprints of one tile or of two."""
-    fps = left if right is None else np.concatenate([left, right])
-    side = np.zeros(len(fps), np.int8)
-    side[len(left) :] = 1
-    fps = fps.astype(np.int64).view(np.uint64)
-    counts = np.bitwise_count(fps)
-    order = np.lexsort((fps, counts))
-    fps, counts, side = fps[order], counts[order], side[order]
-    tops = np.searchsorted(counts, counts.astype(np.int64) + radius, side="right")
-    parent = np.arange(len(fps))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    links = []
-    # Rows of a block against all whose bit counts lie within the radius.
-    for low in range(0, len(fps), 256):
-        high = min(low + 256, len(fps))
+def compare_tiles(
+    fps: np.ndarray, side: np.ndarray | None, radius: int, first_radius: int | None = None, block: int = 64
+) -> list[tuple[int, int]]:
+    """Links, as places, of a spanning forest over fingerprints (n x words) within `radius` bits.
+
+    With `side` only pairs of different sides are compared.
+    """
+    fps = fps.view(np.uint64)
+    counts = np.bitwise_count(fps).sum(1, dtype=np.int64)
+    order = np.lexsort((fps[:, 0], counts))
+    fps, counts = fps[order], counts[order]
+    side = None if side is None else side[order]
+    tops = np.searchsorted(counts, counts + radius, side="right")
+    first = fps[:, 0].copy()
+    label, links = np.arange(len(fps)), []
+    limit = radius if fps.shape[1] == 1 else first_radius or radius
+    for low in range(0, len(fps), block):
+        high = min(low + block, len(fps))
         top = int(tops[high - 1])
-        near = np.bitwise_count(fps[low:high, None] ^ fps[None, low:top]) <= radius
-        near &= np.arange(low, top)[None, :] > np.arange(low, high)[:, None]
-        if right is not None:
-            near &= side[low:high, None] != side[None, low:top]
-        for i, j in zip(*np.nonzero(near)):
-            a, b = root(low + int(i)), root(low + int(j))
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-                links.append((low + int(i), low + int(j)))
-    signed = fps.view(np.int64).tolist()
-    return [(signed[i], signed[j]) for i, j in links]
-
-
-def links_within(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """`a, b`: links that connect all fingerprints of `distinct` (fp) within `radius` bits."""
-    ship(distinct.sparkSession)
+        near = np.bitwise_count(first[low:high, None] ^ first[None, low:top]) <= limit
+        for at in np.flatnonzero(near.any(1)).tolist():
+            i = low + at
+            found = i + 1 + np.flatnonzero(near[at, at + 1 :])
+            if side is not None:
+                found = found[side[found] != side[i]]
+            if len(found) and fps.shape[1] > 1:
+                found = found[np.bitwise_count(fps[found] ^ fps[i]).sum(1, dtype=np.int64) <= radius]
+            if not len(found):
+                continue
+            labels = label[found]
+            for other in np.unique(labels[labels != label[i]]).tolist():
+                links.append((int(order[i]), int(order[found[np.argmax(labels == other)]])))
+                label[label == other] = label[i]
+    return links
+
+
+def _by_prefix(distinct: DataFrame, n: int, radius: int, tile: int) -> DataFrame:
+    """`key, side` for each fingerprint of one word and each of its stretches; sides do not matter."""
     cuts = stretches(radius)
-    n = distinct.count()
-    narrowest = min(width for _, width in cuts)
     # Prefix bits for about half a tile under each prefix.
-    bits = max(0, min(narrowest, int(np.ceil(np.log2(max(1, 2 * n / tile))))))
-    prefix = [
-        F.shiftrightunsigned("fp", start).bitwiseAND((1 << bits) - 1).alias(f"s{i}")
-        for i, (start, _) in enumerate(cuts)
+    bits = max(0, min(*(width for _, width in cuts), int(np.ceil(np.log2(max(1, 2 * n / tile))))))
+    prefixes = [
+        F.shiftrightunsigned(F.col("fp")[0], start).bitwiseAND((1 << bits) - 1) * len(cuts) + number
+        for number, (start, _) in enumerate(cuts)
     ]
-    entries = distinct.select("fp", F.posexplode(F.array(*prefix)).alias("stretch", "prefix"))
-    groups = entries.groupBy("stretch", "prefix").agg(F.count("*").alias("members"))
-    large = staged(
-        groups.filter(F.col("members") > tile).select(
-            "stretch", "prefix", F.ceil(F.col("members") / tile).cast("int").alias("tiles")
-        ),
-        "large-prefixes",
-    )
-    entries = entries.join(large, ["stretch", "prefix"], "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
-    own = F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")
-    entries = entries.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    entries = entries.select(
-        "stretch",
-        "prefix",
-        F.least("own", "other").alias("i"),
-        F.greatest("own", "other").alias("j"),
-        "own",
-        "fp",
-    )
+    return distinct.select("id", "fp", F.explode(F.array(*prefixes)).alias("key"), F.lit(0).alias("side"))
 
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        i, j = key[2].as_py(), key[3].as_py()
-        fps, own = table["fp"].to_numpy(), table["own"].to_numpy()
-        found = compare_tiles(fps[own == i], None if i == j else fps[own == j], radius)
-        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
-    return entries.groupBy("stretch", "prefix", "i", "j").applyInArrow(run, "a long, b long").distinct()
+def _by_length(distinct: DataFrame, ratio: float) -> DataFrame:
+    """Each fingerprint under its length (side 0) and under the length before (side 1)."""
+    length = F.floor(-F.log(F.greatest("size", F.lit(1)).cast("double")) / np.log(ratio)).cast("long")
+    places = F.array(F.struct(length.alias("key"), F.lit(0).alias("side")), F.struct((length - 1).alias("key"), F.lit(1).alias("side")))
+    return distinct.select("id", "fp", F.explode(places).alias("p")).select("id", "fp", "p.key", "p.side")
 
 
-def near_groups(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+def links_within(
+    distinct: DataFrame, radius: int = RADIUS, tile: int = TILE, ratio: float | None = None, first_radius: int | None = None
+) -> DataFrame:
+    """`a, b`: links between ids that connect all of `distinct` (id, fp, size) within `radius` bits."""
+    ship(distinct.sparkSession)
+    entries = _by_prefix(distinct, distinct.count(), radius, tile) if ratio is None else _by_length(distinct, ratio)
+    members = entries.groupBy("key").agg(F.count("*").alias("members"))
+    large = members.filter(F.col("members") > tile)
+    large = staged(large.select("key", F.ceil(F.col("members") / tile).cast("int").alias("tiles")), "large-keys")
+    entries = entries.join(large, "key", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    own = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
+    entries = entries.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    i, j = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    entries = entries.select("key", i, j, "own", "side", "id", "fp")
+    by_length = ratio is not None
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        i, j = key[1].as_py(), key[2].as_py()
+        ids = table["id"].to_numpy()
+        fps = table["fp"].combine_chunks()
+        fps = fps.values.to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+        own, upper = table["own"].to_numpy(), table["side"].to_numpy()
+        # Pairs inside one tile are the business of the pair (tile, tile). Texts of the greater length
+        # are compared with each other under their own key.
+        parts = []
+        if i == j:
+            parts.append((np.flatnonzero(upper == 0), None))
+            if by_length:
+                parts.append((np.arange(len(ids)), upper))
+        else:
+            for low, high in ((0, 0), (0, 1), (1, 0)) if by_length else ((0, 0),):
+                chosen = ((own == i) & (upper == low)) | ((own == j) & (upper == high))
+                parts.append((np.flatnonzero(chosen), own))
+        a, b = [], []
+        for places, sides in parts:
+            if len(places) > 1:
+                found = compare_tiles(fps[places], None if sides is None else sides[places], radius, first_radius)
+                a += [ids[places[x]] for x, _ in found]
+                b += [ids[places[y]] for _, y in found]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return entries.groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
+
+
+def near_groups(
+    docs: DataFrame,
+    words: int = WORDS,
+    bits: int = WORD_BITS,
+    radius: int = RADIUS,
+    tile: int = TILE,
+    ratio: float | None = None,
+    first_radius: int | None = None,
+) -> DataFrame:
     """`row, doc_id, fp, component_id, stays`: one row of each component stays, the one with its id."""
-    rows = fingerprints(docs, words)
+    rows = fingerprints(docs, words, bits)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
-    distinct = staged(rows.groupBy("fp").agg(first, F.count("*").alias("n_rows")), "distinct")
-    roots = staged(components(links_within(distinct.select("fp"), radius, tile), "a", "b"), "roots")
+    distinct = rows.groupBy("fp").agg(first, F.count("*").alias("n_rows"), F.min("size").alias("size"))
+    distinct = staged(distinct.withColumn("id", F.col("first.row")), "distinct")
+    links = links_within(distinct.select("id", "fp", "size"), radius, tile, ratio, first_radius)
+    roots = staged(components(links, "a", "b"), "roots")
     # Only fingerprints with a partner, or with several rows, need a lookup.
-    joined = distinct.join(roots, distinct["fp"] == roots["node"], "left").withColumn(
-        "root", F.coalesce("root", "fp")
+    heads = roots.select(F.col("root").alias("node"), "root").distinct()
+    joined = distinct.join(roots.unionByName(heads), distinct["id"] == F.col("node"), "left")
+    shared = joined.filter("node IS NOT NULL OR n_rows > 1").select(
+        "fp", "first", F.coalesce("root", "id").alias("root")
     )
-    shared = joined.filter("node IS NOT NULL OR n_rows > 1")
-    heads = roots.select("root").distinct().join(distinct, F.col("root") == F.col("fp"))
-    firsts = shared.select("root", "first").unionByName(heads.select("root", "first"))
-    firsts = staged(firsts.groupBy("root").agg(F.min("first").alias("first")), "firsts")
-    members = shared.select("fp", "root").unionByName(heads.select("fp", "root")).distinct()
-    members = staged(members.join(firsts, "root").select("fp", F.col("first").alias("head")), "members")
+    shared = staged(shared, "shared")
+    firsts = staged(shared.groupBy("root").agg(F.min("first").alias("head")), "firsts")
+    members = staged(shared.join(firsts, "root").select("fp", "head"), "members")
     return rows.join(members, "fp", "left").select(
         "row",
         "doc_id",
@@ -186,6 +238,20 @@ def near_groups(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, tile:
     )
 
 
+def near_copies(docs: DataFrame) -> DataFrame:
+    """Groups of texts whose five-word shingles have a similarity of 0.8 or more."""
+    return near_groups(docs, NEAR_WORDS, NEAR_BITS, NEAR_RADIUS, NEAR_TILE, NEAR_RATIO, FIRST_WORD_RADIUS)
+
+
+def without_near_copies(docs: DataFrame) -> DataFrame:
+    """`docs`, all columns, with one row of each group of near copies.
+
+    `docs` is a written table: its rows are numbered twice, as they are read.
+    """
+    groups = near_copies(docs.withColumn("row", F.monotonically_increasing_id()))
+    return drop_rows(docs, groups.filter("NOT stays"))
+
+
 def hex16(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
@@ -193,4 +259,4 @@ def hex16(fp: Column) -> Column:
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     groups = near_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return groups.select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
+    return groups.select("doc_id", hex16(F.col("fp")[0]).alias("fingerprint"), "component_id")

@@ -40,6 +40,13 @@ def staged(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """`docs` without the rows whose number, given as the table is read, is `row` in `dropped`."""
+    name = "_tallywright_row"
+    numbers = staged(dropped.select(F.col("row").alias(name)), "dropped")
+    return docs.withColumn(name, F.monotonically_increasing_id()).join(numbers, name, "left_anti").drop(name)
+
+
 def whole_text(name: str = "text") -> Column:
     """The text itself; null counts as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
