@@ -12,6 +12,7 @@ from .secret_scan import op7_secret_scan
 from .sharding import SHARDS, SLOTS_PER_SHARD, next_prime, op1_sharding
 from .simhash import op5_simhash
 from .token_files import op3_token_files
+from .suffixes import op9_suffix_dedup
 from .toxicity import op2_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -25,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_language_id,
         op7_secret_scan,
         op8_packing,
+        op9_suffix_dedup,
         op10_decontamination,
     )
 }
