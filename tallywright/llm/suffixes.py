@@ -5,10 +5,10 @@ doc_id. Strings are judged on the input and never cross documents.
 
 1. Documents are put together in batches of a few MB, one row each.
 2. Every string of `length` bytes has an anchor: its inner k-gram with the smallest hash. Neighbouring
-   strings mostly share theirs, so about one place in sixteen is an anchor. Equal strings have equal
+   strings mostly share theirs, so about one place in ten is an anchor. Equal strings have equal
    anchors; a string whose anchor no other document has is not repeated. Each batch sends its distinct
-   anchors, packed, and learns which of them another document has. Nothing is decided by a hash here:
-   what has an anchor in common is only looked at further.
+   anchors, four bytes each, and learns which of them another document has. Nothing is decided by a hash
+   here: what has an anchor in common is only looked at further.
 3. The text around each shared anchor, as far as the strings reach that it serves, is a record. Records
    are dealt by anchor, so equal strings meet whatever documents they come from; a batch sends each
    record once.
@@ -17,7 +17,9 @@ doc_id. Strings are judged on the input and never cross documents.
    Neighbours whose common prefix reaches `length` hold the same string. The prefixes are those of
    Kasai's algorithm, taken for all neighbours at once and only up to `length`. The strings of a shard
    are merged with those of the others by binary search, which gives every string its smallest doc_id.
-5. The strings found go back to their batches, where the bytes they cover are taken out.
+5. The strings found go back to their batches, named by the place of their record, and the bytes that
+   they cover are taken out wherever the record occurs. Anchors are found anew each time a batch is read:
+   that is cheaper than keeping them.
 
 A passage that a third of all documents share is one record per batch in step 3, so no task sees all its
 copies. Batches, buckets and shards are bounded in bytes; their numbers grow with the data.
@@ -40,7 +42,7 @@ from .tasks import ship, staged, whole_text
 from .words import _computed, _position_powers, mixed
 
 LENGTH = 50
-GRAM = 20
+GRAM = 32
 BATCH_BYTES = 4 << 20
 # Input bytes for each bucket of anchors and records, and bytes of records sorted at once.
 BUCKET_BYTES = 16 << 20
@@ -50,9 +52,10 @@ _PLACE_BITS = np.uint64(30)
 _NONE = np.iinfo(np.int64).min
 
 BATCHES = "batch long, n_bytes long, doc_ids binary, lengths binary, payload binary"
-ANCHORS = "bucket int, batch long, hashes binary, several binary"
-SHARED = "batch long, hashes binary"
-RECORDS = "kind string, bucket int, batch long, ints binary, longs binary, payload binary"
+ANCHORS = "bucket int, batch long, n int, codes binary, several binary"
+SHARED = "bucket int, batch long, codes binary"
+RECORDS = "bucket int, batch long, ints binary, longs binary, payload binary"
+RUNS = "batch long, ints binary, longs binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
 
 
@@ -80,7 +83,7 @@ def batches_of(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
 
         def closed() -> pa.RecordBatch:
             lengths = [len(text) for text in texts]
-            payload = zstandard.compress(b"".join(texts), 1)
+            payload = zstandard.compress(b"".join(texts), 3)
             return _batch(BATCHES, [number], [held], [_longs(keys)], [_longs(lengths)], [payload])
 
         for frame in frames:
@@ -102,9 +105,9 @@ def batches_of(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
 class _Text:
     """The documents of one batch: bytes, first byte, length and doc_id of each."""
 
-    def __init__(self, doc_ids: bytes, lengths: bytes, payload: bytes):
-        self.doc_ids, self.lengths = _read(doc_ids, "<i8"), _read(lengths, "<i8")
-        self.data = zstandard.decompress(payload)
+    def __init__(self, row: dict):
+        self.doc_ids, self.lengths = _read(row["doc_ids"], "<i8"), _read(row["lengths"], "<i8")
+        self.data = zstandard.decompress(row["payload"])
         self.starts = np.cumsum(self.lengths) - self.lengths
 
     def anchors(self, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -279,129 +282,146 @@ def remove_repeats(
     size = batches.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(12, -(-size // bucket_bytes))
 
-    def dealt(hashes: np.ndarray) -> np.ndarray:
-        return (hashes % np.uint64(buckets)).astype(np.int32)
+    def codes(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bucket of an anchor, and 32 more bits of its hash; a bucket holds about a million anchors
+        at any size of the input, so few of them agree by chance."""
+        bucket = hashes % np.uint64(buckets)
+        return bucket.astype(np.int32), (hashes // np.uint64(buckets)).astype(np.uint32)
 
     def anchors(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
             for row in frame.to_pylist():
-                text = _Text(row["doc_ids"], row["lengths"], row["payload"])
-                hashes, owner, _, _ = text.anchors(length, gram)
-                order = np.lexsort((owner, hashes))
-                hashes, owner = hashes[order], owner[order]
-                new = np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)]
+                hashes, owner, _, _ = _Text(row).anchors(length, gram)
+                bucket, code = codes(hashes)
+                order = np.lexsort((owner, code, bucket))
+                bucket, code, owner = bucket[order], code[order], owner[order]
+                new = np.append(True, (code[1:] != code[:-1]) | (bucket[1:] != bucket[:-1]))[: len(code)]
                 heads = np.flatnonzero(new)
-                tails = np.append(heads[1:], len(hashes)) - 1 if len(heads) else heads
-                hashes, several = hashes[heads], owner[heads] != owner[tails]
-                bucket = dealt(hashes)
-                order = np.argsort(bucket, kind="stable")
-                hashes, several, bucket = hashes[order], several[order], bucket[order]
+                tails = np.append(heads[1:], len(code)) - 1 if len(heads) else heads
+                bucket, code, several = bucket[heads], code[heads], owner[heads] != owner[tails]
                 keys, firsts = np.unique(bucket, return_index=True)
                 parts = list(zip(firsts, np.append(firsts[1:], len(bucket))))
                 yield _batch(
                     ANCHORS,
                     keys.tolist(),
                     [row["batch"]] * len(keys),
-                    [hashes[a:b].tobytes() for a, b in parts],
-                    [several[a:b].tobytes() for a, b in parts],
+                    [int(b - a) for a, b in parts],
+                    [code[a:b].astype("<u4").tobytes() for a, b in parts],
+                    [np.packbits(several[a:b]).tobytes() for a, b in parts],
                 )
 
     def shared(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        hashes = np.concatenate([_read(row["hashes"], "<u8") for row in rows])
-        several = np.concatenate([_read(row["several"], bool) for row in rows])
-        batch = np.repeat(np.arange(len(rows)), [len(row["several"]) for row in rows])
-        order = np.lexsort((batch, hashes))
-        hashes, several, batch = hashes[order], several[order], batch[order]
-        same = hashes[1:] == hashes[:-1]
-        kept = several.copy()
+        code = np.concatenate([_read(row["codes"], "<u4") for row in rows])
+        several = np.concatenate([np.unpackbits(_read(row["several"], np.uint8))[: row["n"]] for row in rows])
+        batch = np.repeat(np.arange(len(rows)), [row["n"] for row in rows])
+        order = np.argsort(code, kind="stable")
+        code, kept, batch = code[order], several[order].astype(bool), batch[order]
+        same = code[1:] == code[:-1]
         kept[1:] |= same
         kept[:-1] |= same
-        hashes, batch = hashes[kept], batch[kept]
+        code, batch = code[kept], batch[kept]
         order = np.argsort(batch, kind="stable")
         cuts = np.searchsorted(batch[order], np.arange(len(rows) + 1))
         some = [n for n in range(len(rows)) if cuts[n] < cuts[n + 1]]
-        parts = [hashes[order[cuts[n] : cuts[n + 1]]].tobytes() for n in some]
-        return pa.Table.from_batches([_batch(SHARED, [rows[n]["batch"] for n in some], parts)])
+        parts = [code[order[cuts[n] : cuts[n + 1]]].tobytes() for n in some]
+        keys = [rows[n]["bucket"] for n in some], [rows[n]["batch"] for n in some]
+        return pa.Table.from_batches([_batch(SHARED, *keys, parts)])
+
+    def whole(bucket: np.ndarray | int, code: np.ndarray) -> np.ndarray:
+        return code.astype(np.int64) * buckets + bucket
 
     def records(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[tuple] = []
-        common = np.sort(np.concatenate([np.zeros(0, "<u8"), *(_read(x.as_py(), "<u8") for x in right["hashes"])]))
+        known = [whole(x["bucket"], _read(x["codes"], "<u4")) for x in right.to_pylist()]
+        common = np.sort(np.concatenate(known)) if known else []
         for row in left.to_pylist() if len(common) else ():
-            text = _Text(row["doc_ids"], row["lengths"], row["payload"])
+            text = _Text(row)
             hashes, owner, first, last = text.anchors(length, gram)
-            found = np.flatnonzero(_sorted_in(hashes, common))
+            bucket, code = codes(hashes)
+            found = np.flatnonzero(_sorted_in(whole(bucket, code), common))
             number: dict[bytes, int] = {}
-            of = np.empty(len(found), np.int64)
+            of, places = np.empty(len(found), np.int64), []
             for at, (a, b) in enumerate(zip(first[found].tolist(), last[found].tolist())):
-                of[at] = number.setdefault(text.data[a : b + length], len(number))
+                record = text.data[a : b + length]
+                of[at] = number.setdefault(record, len(number))
+                if len(places) < len(number):
+                    places.append(a)
             keys = text.doc_ids[owner[found]]
             least, most = np.full(len(number), np.iinfo(np.int64).max), np.full(len(number), _NONE)
             np.minimum.at(least, of, keys)
             np.maximum.at(most, of, keys)
-            bucket = np.empty(len(number), np.int32)
-            bucket[of] = dealt(hashes[found])
-            where = np.stack([owner[found], first[found], of]).astype("<i8").tobytes()
-            out.append(("where", None, row["batch"], None, None, zstandard.compress(where, 1)))
-            contents = list(number)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)) if len(order) else order
+            dealt = np.empty(len(number), np.int32)
+            dealt[of] = bucket[found]
+            contents, places = list(number), np.array(places, np.int64)
+            order = np.argsort(dealt, kind="stable")
+            cuts = np.flatnonzero(np.append(True, np.diff(dealt[order]) != 0)) if len(order) else order
             for a, b in zip(cuts, np.append(cuts[1:], len(order))):
                 mine = order[a:b]
-                ints = np.stack([mine, [len(contents[i]) for i in mine]]).astype("<i4").tobytes()
+                ints = np.stack([places[mine], [len(contents[i]) for i in mine]]).astype("<i4").tobytes()
                 longs = np.stack([least[mine], most[mine]]).astype("<i8").tobytes()
                 payload = zstandard.compress(b"".join(contents[i] for i in mine), 1)
-                out.append(("record", int(bucket[mine[0]]), row["batch"], ints, longs, payload))
-        return pa.Table.from_batches([_batch(RECORDS, *(zip(*out) if out else [[]] * 6))])
+                out.append((int(dealt[mine[0]]), row["batch"], ints, zstandard.compress(longs, 1), payload))
+        return pa.Table.from_batches([_batch(RECORDS, *(zip(*out) if out else [[]] * 5))])
 
     def strings(table: pa.Table) -> pa.Table:
         number: dict[bytes, int] = {}
         sent = []
         for row in table.to_pylist():
-            mine, sizes = _read(row["ints"], "<i4").reshape(2, -1)
-            least, most = _read(row["longs"], "<i8").reshape(2, -1)
+            place, sizes = _read(row["ints"], "<i4").reshape(2, -1)
+            least, most = _read(zstandard.decompress(row["longs"]), "<i8").reshape(2, -1)
             data, ends = zstandard.decompress(row["payload"]), np.cumsum(sizes)
-            of = [
-                number.setdefault(data[b - s : b], len(number)) for b, s in zip(ends.tolist(), sizes.tolist())
-            ]
-            sent.append((row["batch"], mine, np.array(of, np.int64), least, most))
+            of = [number.setdefault(data[b - s : b], len(number)) for b, s in zip(ends.tolist(), sizes.tolist())]
+            sent.append((row["batch"], place, np.array(of, np.int64), least, most))
         smallest = np.full(len(number), np.iinfo(np.int64).max)
         for _, _, of, least, _ in sent:
             np.minimum.at(smallest, of, least)
-        runs = list(repeated_strings(list(number), smallest, length, shard_bytes))
-        if not runs:
-            return pa.Table.from_batches([_batch(RECORDS, *[[]] * 6)])
-        record, first, last, doc = (np.concatenate(x) for x in zip(*runs))
-        cuts = np.searchsorted(record, np.arange(len(number) + 1))
-        out = []
-        for batch, mine, of, _, most in sent:
-            times = cuts[of + 1] - cuts[of]
-            at = np.repeat(cuts[of] - np.cumsum(times) + times, times) + np.arange(times.sum())
-            useful = doc[at] < np.repeat(most, times)
-            at, mine = at[useful], np.repeat(mine, times)[useful]
-            if len(at):
-                ints = np.stack([mine, first[at], last[at]]).astype("<i4").tobytes()
-                out.append(("run", None, batch, ints, _longs(doc[at]), None))
-        return pa.Table.from_batches([_batch(RECORDS, *(zip(*out) if out else [[]] * 6))])
+        found = list(repeated_strings(list(number), smallest, length, shard_bytes))
+        out: list[tuple] = []
+        if found:
+            record, first, last, doc = (np.concatenate(x) for x in zip(*found))
+            cuts = np.searchsorted(record, np.arange(len(number) + 1))
+            for batch, place, of, _, most in sent:
+                times = cuts[of + 1] - cuts[of]
+                at = np.repeat(cuts[of] - np.cumsum(times) + times, times) + np.arange(times.sum())
+                useful = doc[at] < np.repeat(most, times)
+                at, place = at[useful], np.repeat(place, times)[useful]
+                if len(at):
+                    ints = np.stack([place, first[at], last[at]]).astype("<i4").tobytes()
+                    out.append((batch, zstandard.compress(ints, 1), zstandard.compress(_longs(doc[at]), 1)))
+        return pa.Table.from_batches([_batch(RUNS, *(zip(*out) if out else [[]] * 3))])
 
     def cleaned(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[dict] = []
-        rows = right.to_pylist()
-        where = [x for x in rows if x["kind"] == "where"]
-        runs = [x for x in rows if x["kind"] == "run"]
+        runs = [
+            (_read(zstandard.decompress(x["ints"]), "<i4").reshape(3, -1), _read(zstandard.decompress(x["longs"]), "<i8"))
+            for x in right.to_pylist()
+        ]
         for row in left.to_pylist():
-            text = _Text(row["doc_ids"], row["lengths"], row["payload"])
+            text = _Text(row)
             edge = np.zeros(len(text.data) + 1, np.int32)
-            if where and runs:
-                owner, first, of = _read(zstandard.decompress(where[0]["payload"]), "<i8").reshape(3, -1)
-                mine, a, b = np.concatenate([_read(x["ints"], "<i4").reshape(3, -1) for x in runs], axis=1).astype(np.int64)
-                doc = np.concatenate([_read(x["longs"], "<i8") for x in runs])
-                order = np.argsort(mine, kind="stable")
-                low = np.searchsorted(mine[order], of)
-                times = np.searchsorted(mine[order], of, side="right") - low
-                at = order[np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())]
-                place = np.repeat(first, times)
-                goes = doc[at] < text.doc_ids[np.repeat(owner, times)]
+            if runs:
+                record, a, b = np.concatenate([x for x, _ in runs], axis=1).astype(np.int64)
+                doc = np.concatenate([x for _, x in runs])
+                order = np.argsort(record, kind="stable")
+                record, a, b, doc = record[order], a[order], b[order], doc[order]
+                hashes, owner, first, last = text.anchors(length, gram)
+                named = np.unique(record)
+                at_named = np.searchsorted(first, named)
+                place_of = {
+                    text.data[x : y + length]: x for x, y in zip(first[at_named].tolist(), last[at_named].tolist())
+                }
+                found = np.flatnonzero(_sorted_in(hashes, np.sort(hashes[at_named])))
+                of = np.array(
+                    [place_of.get(text.data[x : y + length], -1) for x, y in zip(first[found].tolist(), last[found].tolist())],
+                    np.int64,
+                )
+                found, of = found[of >= 0], of[of >= 0]
+                low = np.searchsorted(record, of)
+                times = np.searchsorted(record, of, side="right") - low
+                at = np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())
+                place = np.repeat(first[found], times)
+                goes = doc[at] < text.doc_ids[np.repeat(owner[found], times)]
                 np.add.at(edge, (place + a[at])[goes], 1)
                 np.add.at(edge, (place + b[at])[goes] + length, -1)
             gone = np.cumsum(edge[:-1]) > 0
@@ -427,13 +447,10 @@ def remove_repeats(
         kinds = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64())]
         return pa.Table.from_pylist(out, pa.schema([*kinds, ("kept_sha256", pa.string()), ("spans", pa.list_(span))]))
 
-    dealt_out = batches.mapInArrow(anchors, ANCHORS).groupBy("bucket").applyInArrow(shared, SHARED)
-    cut = batches.groupBy("batch").cogroup(dealt_out.groupBy("batch")).applyInArrow(records, RECORDS)
-    cut = staged(cut, "records", "kind")
-    found = cut.filter("kind = 'record'").groupBy("bucket").applyInArrow(strings, RECORDS)
-    columns = RECORDS.replace(",", "").split()[::2]
-    back = cut.filter("kind = 'where'").select(*columns).unionByName(found.select(*columns))
-    return batches.groupBy("batch").cogroup(back.groupBy("batch")).applyInArrow(cleaned, RESULT)
+    known = batches.mapInArrow(anchors, ANCHORS).groupBy("bucket").applyInArrow(shared, SHARED)
+    cut = batches.groupBy("batch").cogroup(known.groupBy("batch")).applyInArrow(records, RECORDS)
+    found = cut.groupBy("bucket").applyInArrow(strings, RUNS)
+    return batches.groupBy("batch").cogroup(found.groupBy("batch")).applyInArrow(cleaned, RESULT)
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
