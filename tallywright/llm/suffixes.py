@@ -45,7 +45,7 @@ LENGTH = 50
 GRAM = 32
 BATCH_BYTES = 4 << 20
 # Input bytes for each bucket of anchors and records, and bytes of records sorted at once.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 6 << 20
 SHARD_BYTES = 4 << 20
 
 _PLACE_BITS = np.uint64(30)
@@ -148,14 +148,19 @@ def _sorted_in(values: np.ndarray, within: np.ndarray) -> np.ndarray:
     return within[at] == values
 
 
-def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes of `text` (bytes) sorted by their first `depth` bytes at least."""
-    n = len(text)
+def eight_bytes(text: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number that sorts like them."""
     padded = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
-    key = np.zeros(n, np.uint64)
+    key = np.zeros(len(text), np.uint64)
     for place in range(8):
-        key = (key << np.uint64(8)) | padded[place : place + n]
-    order = np.argsort(key, kind="stable")
+        key = (key << np.uint64(8)) | padded[place : place + len(text)]
+    return key
+
+
+def suffix_array(text: np.ndarray, depth: int, key: np.ndarray) -> np.ndarray:
+    """Suffixes of `text` (bytes) sorted by their first `depth` bytes at least."""
+    n = len(text)
+    order = np.argsort(key)
     new = np.append(True, key[order[1:]] != key[order[:-1]])
     heads = np.maximum.accumulate(np.where(new, np.arange(n), 0))  # a group's rank is its first place
     rank = np.empty(n, np.int64)
@@ -163,39 +168,34 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     h = 8
     while h < depth:
         # Places in groups of more than one.
-        lone = new & np.append(new[1:], True)
-        open_ = np.flatnonzero(~lone)
+        open_ = np.flatnonzero(~(new & np.append(new[1:], True)))
         if not len(open_):
             break
-        suffixes = order[open_]
+        suffixes, group = order[open_], heads[open_]
         ahead = suffixes + h
-        next_rank = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
-        group = heads[open_]
-        resort = np.lexsort((next_rank, group))
-        suffixes, next_rank = suffixes[resort], next_rank[resort]
+        by = group * (n + 1) + np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
+        resort = np.argsort(by)
+        suffixes, by = suffixes[resort], by[resort]
         order[open_] = suffixes
-        changed = np.append(True, (next_rank[1:] != next_rank[:-1]) | (group[1:] != group[:-1]))
-        new[open_] = changed
+        new[open_] = np.append(True, by[1:] != by[:-1])
         heads = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-        rank[order[open_]] = heads[open_]
+        rank[suffixes] = heads[open_]
         h *= 2
     return order
 
 
-def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
-    """Length, up to `most`, of the common prefix of each suffix with the one before it in `order`."""
-    n = len(text)
-    padded = np.concatenate([text, np.full(most, 0xFF, np.uint8)])
-    lcp = np.zeros(n, np.int64)
-    going = np.arange(1, n)
-    for at in range(most):
-        a, b = order[going], order[going - 1]
-        same = padded[a + at] == padded[b + at]
-        same &= np.maximum(a, b) + at < n
-        going = going[same]
-        if not len(going):
-            break
-        lcp[going] = at + 1
+def common_prefixes(key: np.ndarray, suffixes: np.ndarray, most: int) -> np.ndarray:
+    """Length, up to `most`, of the common prefix of each of `suffixes` with the one before it.
+
+    `key` has the eight bytes from each place on; every suffix has `most` bytes. The first gets 0.
+    """
+    lcp = np.zeros(len(suffixes), np.int64)
+    going = np.arange(1, len(suffixes))
+    for at in range(0, most, 8):
+        differ = key[suffixes[going] + at] ^ key[suffixes[going - 1] + at]
+        same = sum(((differ >> np.uint64(64 - 8 * n)) == 0).astype(np.int64) for n in range(1, 8))
+        lcp[going] = np.minimum(at + same + (differ == 0), most)
+        going = going[differ == 0]
     return lcp
 
 
@@ -206,15 +206,13 @@ class _Shard:
         text = np.frombuffer(b"\xff".join(records) + b"\xff", np.uint8)  # no text holds this byte
         sizes = np.array([len(x) for x in records])
         starts = np.cumsum(sizes + 1) - sizes - 1
-        order = suffix_array(text, length)
+        key = eight_bytes(text)
+        order = suffix_array(text, length, key)
         record = np.repeat(np.arange(len(records)), sizes + 1)
         offset = np.arange(len(text)) - starts[record]
-        string = offset + length <= sizes[record]
-        places = np.flatnonzero(string[order])
-        lcp = common_prefixes(text, order, length)
-        # Strings of one content are neighbours: any two in a row have `length` bytes in common.
-        new = self._breaks(lcp, places, length) if len(places) else np.zeros(0, bool)
-        self.suffix = order[places]
+        # Only whole strings count. Those of one content are neighbours.
+        self.suffix = order[(offset + length <= sizes[record])[order]]
+        new = common_prefixes(key, self.suffix, length) < length
         self.run = np.cumsum(new) - 1
         self.record, self.offset = record[self.suffix], offset[self.suffix]
         heads = self.suffix[np.flatnonzero(new)]
@@ -222,12 +220,6 @@ class _Shard:
         view = np.lib.stride_tricks.sliding_window_view(text, length)[heads] if len(heads) else np.zeros((0, length), np.uint8)
         self.heads = np.ascontiguousarray(view).view(f"S{length}").ravel()
 
-    @staticmethod
-    def _breaks(lcp: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
-        """Where between two places some neighbours have less than `length` bytes in common."""
-        low = np.concatenate([[0], np.cumsum(lcp < length)])
-        return np.append(True, low[places[1:] + 1] > low[places[:-1] + 1])
-
 
 def merge_shards(shards: list[_Shard]) -> tuple[np.ndarray, np.ndarray]:
     """All strings of all shards, sorted, and the smallest doc_id of each."""
