@@ -12,7 +12,7 @@ sorted once per batch, not once per document, and only one copy of a text travel
 Nulls and odd rows: a null text counts as empty, and all empty texts are equal; a null doc_id is smaller
 than any other; of repeated rows with one doc_id and one text, exactly one stays; an empty table gives
 an empty result. Columns other than
-`row, doc_id, text` are not read; `row` tells rows apart and is added where it is missing.
+`doc_id, text` are not read.
 """
 
 from collections.abc import Iterator
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .tasks import drop_rows, ship, staged, whole_text
+from .tasks import drop_rows, row_number_of, ship, staged, whole_text, with_rows
 
 BLOCK_BYTES = 4096
 # Bytes of distinct blocks after which a task starts a new dictionary.
@@ -89,7 +89,7 @@ def name_documents(
     """`row, doc_id, sha256, n_bytes, identity`: equal texts, and only those, share `identity`."""
     ship(docs.sparkSession)
     texts = docs.select(
-        "row" if "row" in docs.columns else F.monotonically_increasing_id().alias("row"),
+        row_number_of(docs),
         F.col("doc_id").cast("long").alias("doc_id"),
         whole_text().alias("text"),
     )
@@ -140,7 +140,7 @@ def without_copies(docs: DataFrame, **how) -> DataFrame:
 
     `docs` is a written table: its rows are numbered twice, as they are read.
     """
-    groups = exact_groups(docs.withColumn("row", F.monotonically_increasing_id()), **how)
+    groups = exact_groups(with_rows(docs), **how)
     return drop_rows(docs, groups.filter("NOT kept"))
 
 

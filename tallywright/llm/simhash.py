@@ -16,7 +16,7 @@ compared in a task of its own. A pair returns the links of a spanning forest, no
 Nulls and odd rows: a null text is empty, texts without words share the fingerprint zero; rows with null
 doc_id are linked like others and have no say in the component's id unless the whole component is null;
 repeated rows are linked to each other; an empty table gives an empty result. Columns other than
-`row, doc_id, text` are not read. `row` tells rows apart and is added where it is missing.
+`doc_id, text` are not read.
 """
 
 from collections.abc import Iterator
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .components import components
-from .tasks import drop_rows, ship, staged, whole_text
+from .tasks import drop_rows, row_number_of, ship, staged, whole_text, with_rows
 from .words import mixed
 
 SEED = 42
@@ -92,7 +92,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS, bits: int = WORD_BITS) ->
             )
 
     rows = docs.select(
-        "row" if "row" in docs.columns else F.monotonically_increasing_id().alias("row"),
+        row_number_of(docs),
         F.col("doc_id").cast("long").alias("doc_id"),
         whole_text().alias("text"),
     )
@@ -248,7 +248,7 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
 
     `docs` is a written table: its rows are numbered twice, as they are read.
     """
-    groups = near_copies(docs.withColumn("row", F.monotonically_increasing_id()))
+    groups = near_copies(with_rows(docs))
     return drop_rows(docs, groups.filter("NOT stays"))
 
 

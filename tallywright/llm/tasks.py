@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..shared import scratch_folder
 
+# Column that numbers the rows of a table as it is read.
+ROW = "_tallywright_row"
+
 PACKAGE = Path(__file__).resolve().parent.parent
 _shipped: set[str] = set()
 
@@ -42,9 +45,17 @@ def staged(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
 
 def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """`docs` without the rows whose number, given as the table is read, is `row` in `dropped`."""
-    name = "_tallywright_row"
-    numbers = staged(dropped.select(F.col("row").alias(name)), "dropped")
-    return docs.withColumn(name, F.monotonically_increasing_id()).join(numbers, name, "left_anti").drop(name)
+    numbers = staged(dropped.select(F.col("row").alias(ROW)), "dropped")
+    return with_rows(docs).join(numbers, ROW, "left_anti").drop(ROW)
+
+
+def with_rows(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(ROW, F.monotonically_increasing_id())
+
+
+def row_number_of(docs: DataFrame) -> Column:
+    """The numbers that `with_rows` gave, or new ones, as `row`."""
+    return (F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()).alias("row")
 
 
 def whole_text(name: str = "text") -> Column:
