@@ -16,9 +16,15 @@ def too_large(text: Column, limit: float) -> Column:
 
 
 def parse_german_amount(text: Column) -> Column:
-    """`1.234,56 EUR` to 1234.56."""
-    digits = F.regexp_replace(text, r"[^0-9,\-]", "")
-    return safe_decimal(F.translate(digits, ",", "."))
+    """`1.234,56 EUR` to 1234.56; a plain `119.00` stays what it is.
+
+    Anything else is null, also `1.234`, which may be either.
+    """
+    bare = F.regexp_replace(F.trim(text), r"\s*(EUR|€)$", "")
+    german = bare.rlike(r"^-?(\d{1,3}(\.\d{3})+,\d+|\d+(,\d+)?)$")
+    plain = bare.rlike(r"^-?\d+\.\d+$") & ~bare.rlike(r"^-?\d{1,3}\.\d{3}$")
+    written = F.when(german, F.translate(bare, ",.", ".")).when(plain, bare)
+    return safe_decimal(written)
 
 
 def german_amount(value: Column) -> Column:

@@ -56,3 +56,9 @@ def short_number(value: Column) -> Column:
         )
         .otherwise(F.regexp_replace(plain, r"\.?0+$", ""))
     )
+
+
+def padded(key: Column, width: int = 9) -> Column:
+    """A key as text with leading zeros; longer keys stay whole."""
+    text = key.cast("string")
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)

@@ -47,11 +47,17 @@ def mark_first(
 ) -> DataFrame:
     """Add `is_first` to documents without a reason yet; false for everything else.
 
-    Joins back on the file name, which is unique, and not on the number, which may be hot. There
-    are about as many winners as documents, so neither side is one to broadcast.
+    Each row gets a number of its own, so two rows with one file name compete like any others. Joins
+    back on that number, not on the invoice number, which may be hot. `df` is a written table: it is
+    read twice and numbered as it is read.
     """
-    open_cases = df.filter(F.col("reason").isNull()).select("invoice_number", "source_file")
-    winners = first_files(open_cases, stored_numbers).withColumn("is_first", F.lit(True))
-    return df.join(winners.hint("merge"), "source_file", "left").withColumn(
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    open_cases = numbered.filter(F.col("reason").isNull())
+    best = F.min(F.struct("source_file", "_row")).alias("_best")
+    firsts = open_cases.groupBy("invoice_number").agg(best)
+    if stored_numbers is not None:
+        firsts = firsts.join(stored_numbers.select("invoice_number"), "invoice_number", "left_anti")
+    winners = firsts.select(F.col("_best._row").alias("_row"), F.lit(True).alias("is_first"))
+    return numbered.join(winners, "_row", "left").withColumn(
         "is_first", F.coalesce("is_first", F.lit(False))
-    )
+    ).drop("_row")

@@ -5,6 +5,7 @@ The rules are written down in FIXTURES.md.
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.text import padded
 from ..operators.intake import SIGNATURE, unopenable_detail
 from ..sources.documents import triage_manifest
 
@@ -18,7 +19,7 @@ def _every(n: int) -> Column:
 
 def _source_file() -> Column:
     ending = F.when(_every(11), ".TXT").when(_every(10), ".PDF").otherwise(".pdf")
-    return F.concat(F.lit("conv-"), F.lpad(F.col("conv_id").cast("string"), 9, "0"), ending)
+    return F.concat(F.lit("conv-"), padded(F.col("conv_id")), ending)
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ def _joined(column: str) -> str:
 
 
 SOURCE_FILE = (
-    "'inv-' || lpad(CAST(k AS VARCHAR), 9, '0') || CASE WHEN k % 151 = 0 THEN '.txt' ELSE '.pdf' END"
+    "'inv-' || lpad(CAST(k AS VARCHAR), greatest(9, length(CAST(k AS VARCHAR)))::INTEGER, '0') || CASE WHEN k % 151 = 0 THEN '.txt' ELSE '.pdf' END"
 )
 NUMBER = "'RE-' || CAST(CASE WHEN k % 97 = 0 AND k > 0 THEN k - 1 ELSE k END AS VARCHAR)"
 
@@ -75,7 +75,7 @@ header AS (
          CASE WHEN o.k % 113 = 0 THEN NULL WHEN n_lines IS NULL THEN 'Supplier#none'
               ELSE s_name END AS vendor_name,
          coalesce(n_name, 'none') AS vendor_address,
-         'DE' || lpad(CAST(supplier_1 AS VARCHAR), 9, '0') AS vendor_tax_id,
+         'DE' || lpad(CAST(supplier_1 AS VARCHAR), greatest(9, length(CAST(supplier_1 AS VARCHAR)))::INTEGER, '0') AS vendor_tax_id,
          c_name AS customer_name, lines_sum AS subtotal, vat_amount,
          CASE WHEN vat_amount <> 0
               THEN round(CAST(vat_amount AS DOUBLE) / CAST(lines_sum AS DOUBLE), 12) END AS vat_rate,
@@ -177,7 +177,7 @@ counted AS (
   SELECT conv_id AS c, count(*) AS n_pages, bool_or(trim(text) <> '') AS any_text
   FROM conversations GROUP BY 1),
 files AS (
-  SELECT ids.c, 'conv-' || lpad(CAST(ids.c AS VARCHAR), 9, '0') ||
+  SELECT ids.c, 'conv-' || lpad(CAST(ids.c AS VARCHAR), greatest(9, length(CAST(ids.c AS VARCHAR)))::INTEGER, '0') ||
          CASE WHEN ids.c % 11 = 0 THEN '.TXT' WHEN ids.c % 10 = 0 THEN '.PDF' ELSE '.pdf' END AS source_file,
          n_pages, any_text AND ids.c % 7 <> 0 AS any_text,
          CASE WHEN ids.c % 13 = 0 THEN 'File does not exist on disk'

@@ -7,7 +7,7 @@ sums, counts and its flagged items, so an order holding a third of all lines is
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.dates import iso
-from ..functions.text import fill
+from ..functions.text import fill, padded
 from .. import fixed
 from ..operators.intake import suffix
 from ..operators.mapping import (
@@ -54,7 +54,7 @@ def as_field(value: Column, confidence: Column | None = None) -> Column:
 def source_file() -> Column:
     return F.concat(
         F.lit("inv-"),
-        F.lpad(F.col("order_key").cast("string"), 9, "0"),
+        padded(F.col("order_key")),
         F.when(every(151), ".txt").otherwise(".pdf"),
     )
 
@@ -186,7 +186,7 @@ def headers(
         .cast("string")
     )
     others = F.lit(0.9) + (F.col("order_key") % 10) / F.lit(100.0)
-    tax_id = F.concat(F.lit("DE"), F.lpad(F.col("first_supplier").cast("string"), 9, "0"))
+    tax_id = F.concat(F.lit("DE"), padded(F.col("first_supplier")))
 
     fields = {
         "InvoiceId": as_field(invoice_number(), F.when(~every(19), 0.9)),

@@ -320,3 +320,18 @@ def test_short_numbers(spark):
     frame = spark.createDataFrame([(v,) for v in values], "v double")
     shown = [row[0] for row in frame.select(short_number(F.col("v"))).collect()]
     assert shown == [f"{v:g}" for v in values]
+
+
+def test_written_amounts_and_long_keys(spark):
+    from tallywright.functions.money import parse_german_amount
+    from tallywright.functions.text import padded
+
+    written = {"1.234,56 EUR": 1234.56, "119.00": 119.0, "1234.56": 1234.56, "1.234": None, "1,234.56": None}
+    written |= {"auf Anfrage": None, "-5,00 EUR": -5.0, "12": 12.0, "": None, "1.23,4": None}
+    df = spark.createDataFrame(list(written.items()), "text string, amount double")
+    got = df.withColumn("got", parse_german_amount(F.col("text")).cast("double"))
+    assert all(r.got == r.amount for r in got.collect())
+    keys = spark.createDataFrame([(7,), (123456789012,), (123456789999,)], "k long")
+    assert [r[0] for r in keys.select(padded(F.col("k"))).collect()] == [
+        "000000007", "123456789012", "123456789999"
+    ]

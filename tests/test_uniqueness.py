@@ -52,3 +52,11 @@ def test_lookup_in_the_store_is_the_same_either_way(spark):
     assert found[0] == found[1] == found[2] != []
     plan = stored_among(stored, documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_one_file_name_twice_stores_one_invoice(spark):
+    df = spark.createDataFrame(
+        [("a.pdf", "N-1", None), ("a.pdf", "N-1", None), ("b.pdf", "N-1", None)],
+        "source_file string, invoice_number string, reason string",
+    )
+    assert [r.source_file for r in mark_first(df).filter("is_first").collect()] == ["a.pdf"]
