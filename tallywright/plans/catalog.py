@@ -191,6 +191,43 @@ def json_fields(spark, sf_dir):
     )
 
 
+@query
+def currency_values(spark, sf_dir):
+    """One response per order line: amounts as objects and items under `value`, or both plain.
+
+    Every 13th order has an object without an amount.
+    """
+    nested = F.col("l_linenumber") % 2 == 1
+
+    def written(value: str) -> Column:
+        text = F.when(F.col("l_orderkey") % 13 == 0, "null").otherwise(F.col(value).cast("string"))
+        return F.when(nested, F.concat(F.lit('{"currency":"EUR","amount":'), text, F.lit("}"))).otherwise(text)
+
+    item = F.format_string(
+        '{"Quantity":{"value":%s},"Amount":{"value":%s}}', F.col("l_quantity").cast("string"), written("l_extendedprice")
+    )
+    items = F.when(nested, F.format_string('{"value":[{"value":%s}]}', item)).otherwise(F.format_string("[%s]", item))
+    response = F.format_string(
+        '{"documents":[{"fields":{"InvoiceTotal":{"value":%s},"Items":%s}}]}', written("o_totalprice"), items
+    )
+    none = F.lit(None).cast("string")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    rows = table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    recorded = rows.select(
+        "l_orderkey", "l_linenumber", none.alias("stage"), none.alias("reason"), response.alias("json")
+    )
+    read = first_document(parse_responses(recorded, "json"))
+    first = F.try_element_at("fields.Items", F.lit(1))
+    return read.select(
+        "l_orderkey",
+        "l_linenumber",
+        F.size("fields.Items").alias("n_items"),
+        amount(money.safe_decimal(F.col("fields.InvoiceTotal.value"))).alias("total_amount"),
+        first["Quantity"]["value"].try_cast("double").alias("quantity"),
+        amount(money.safe_decimal(first["Amount"]["value"])).alias("line_total"),
+    )
+
+
 # Cleaning and cross-checks.
 
 

@@ -259,6 +259,12 @@ ORACLE: dict[str, str] = {
                     THEN 'Extraction failed: analysis did not recognize this file as an invoice'
                     ELSE '' END AS reason
         FROM events""",
+    "currency_values": """
+        SELECT l_orderkey, l_linenumber, CAST(1 AS INTEGER) AS n_items,
+               CASE WHEN l_orderkey % 13 <> 0 THEN CAST(o_totalprice AS DOUBLE) END AS total_amount,
+               CAST(l_quantity AS DOUBLE) AS quantity,
+               CASE WHEN l_orderkey % 13 <> 0 THEN CAST(l_extendedprice AS DOUBLE) END AS line_total
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "clean_text": f"""
         SELECT doc_id, t AS text, length(t) AS n_chars
         FROM (SELECT doc_id, trim(regexp_replace(text, '{CLASS}', ' ', 'g')) AS t FROM documents)""",

@@ -32,7 +32,10 @@ def _struct(members: dict[str, str]) -> str:
 
 RAW_ITEM = _struct(dict.fromkeys(ITEM_FIELDS, FIELD))
 RAW_FIELDS = _struct(dict.fromkeys(HEADER_FIELDS, FIELD) | {"Items": f"array<{RAW_ITEM}>"})
-DOCUMENTS = f"array<struct<fields:{RAW_FIELDS}>>"
+# As recorded: items stay text until their shape is known, a list or a field whose value is a list.
+RECORDED_ITEM = _struct(dict.fromkeys(ITEM_FIELDS, FIELD) | {"value": RAW_ITEM})
+RECORDED_FIELDS = _struct(dict.fromkeys(HEADER_FIELDS, FIELD) | {"Items": "string"})
+DOCUMENTS = f"array<struct<fields:{RECORDED_FIELDS}>>"
 
 # One recorded answer of the field analysis.
 RESPONSE = f"source_file string, documents {DOCUMENTS}, _corrupt_record string"

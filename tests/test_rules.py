@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from documents import ABSENT, ARITHMETIC, PLAUSIBLE, field, fields, item, judged, response
+from tallywright.sources.responses import first_document, parse_responses
 
 CASES = {
     "plausible": response(PLAUSIBLE),
@@ -335,3 +336,25 @@ def test_written_amounts_and_long_keys(spark):
     assert [r[0] for r in keys.select(padded(F.col("k"))).collect()] == [
         "000000007", "123456789012", "123456789999"
     ]
+
+
+def test_recorded_shapes_of_amounts_and_items(spark):
+    item = '{"Description":{"value":"a"},"Amount":{"value":%s}}'
+    bodies = {
+        "plain": '{"InvoiceTotal":{"value":"7"},"Items":[' + item % "5" + "]}",
+        "nested": '{"InvoiceTotal":{"value":{"amount":7}},"Items":{"value":[{"value":'
+        + item % '{"symbol":"x","amount":5}' + "},null]}}",
+        "bare": '{"InvoiceTotal":{"value":{"symbol":"x"}},"Items":{"value":null}}',
+        "none": '{"InvoiceTotal":null}',
+        "broken": '{"InvoiceTotal":{"value":"7"},"Items":"text"}',
+    }
+    rows = [(name, '{"documents":[{"fields":' + body + "}]}") for name, body in bodies.items()]
+    recorded = spark.createDataFrame(rows, "name string, json string").selectExpr(
+        "name", "json", "CAST(NULL AS string) stage", "CAST(NULL AS string) reason"
+    )
+    read = {r.name: r for r in first_document(parse_responses(recorded, "json")).collect()}
+    amounts = {n: [i and i.Amount.value for i in r.fields.Items or []] for n, r in read.items() if n != "broken"}
+    assert amounts == {"plain": ["5"], "nested": ["5", None], "bare": [], "none": []}
+    totals = {n: r.fields.InvoiceTotal and r.fields.InvoiceTotal.value for n, r in read.items()}
+    assert totals == {"plain": "7", "nested": "7", "bare": None, "none": None, "broken": "7"}
+    assert {n for n, r in read.items() if r.reason} == {"broken"}
