@@ -9,7 +9,9 @@ from .numbering import LARGE_GROUP, number_within
 # How a document of the right kind starts, and how far in the mark may stand.
 SIGNATURE = "%PDF-"
 SIGNATURE_WINDOW = 1024
+# An entry of that name with a reference or a dictionary; the bare word may stand in any text.
 ENCRYPTION_MARK = "/Encrypt"
+ENCRYPTION_ENTRY = ENCRYPTION_MARK + r"\s*(\d+\s+\d+\s+R\b|<<)"
 
 EMPTY_FILE = "empty file"
 
@@ -41,7 +43,17 @@ def byte_facts(files: DataFrame) -> DataFrame:
         "path",
         "length",
         unopenable_detail(F.col("length"), F.col("content")).alias("open_error"),
-        (F.instr(content, ENCRYPTION_MARK) > 0).alias("is_encrypted"),
+        ((F.instr(content, ENCRYPTION_MARK) > 0) & content.rlike(ENCRYPTION_ENTRY)).alias("is_encrypted"),
+    )
+
+
+def oversized_facts(files: DataFrame, limit: int) -> DataFrame:
+    """The facts of files too long to read, from their listing alone."""
+    return files.select(
+        "path",
+        "length",
+        F.lit(f"longer than {limit} bytes").alias("open_error"),
+        F.lit(False).alias("is_encrypted"),
     )
 
 

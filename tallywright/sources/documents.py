@@ -2,11 +2,14 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.intake import EMPTY_FILE, byte_facts, file_name, page_facts, triage
+from ..operators.intake import EMPTY_FILE, byte_facts, file_name, oversized_facts, page_facts, triage
 
 # Fixed value: the listing takes this pattern as written, lower case, one folder deep.
 PATTERN = "*.pdf"
 
+# Spark ends a job that reads the content of a longer file.
+LENGTH_SETTING, LENGTH_DEFAULT = "spark.sql.sources.binaryFile.maxLength", 2**31 - 1
+
 
 def list_documents(spark: SparkSession, folder: str) -> DataFrame:
     """`binaryFile` rows; `content` is read only by steps that select it.
@@ -23,11 +26,14 @@ def triage_folder(
     """Every listed file with its first failure reason. `pages`: see `page_facts`.
 
     With a `manifest` (`source_file, length`, such as a storage inventory) its names are the files
-    of the run instead: those not on disk fail as missing, those of length zero as empty.
+    of the run instead: those not on disk fail as missing, those of length zero as empty. A file
+    longer than Spark may read is rejected from the listing, its content unread.
     """
-    files = byte_facts(list_documents(spark, folder)).withColumn(
-        "source_file", file_name(F.col("path"))
-    )
+    limit = int(spark.conf.get(LENGTH_SETTING, str(LENGTH_DEFAULT)))
+    listed = list_documents(spark, folder)
+    readable = byte_facts(listed.filter(F.col("length") <= limit))
+    facts = readable.unionByName(oversized_facts(listed.filter(F.col("length") > limit), limit))
+    files = facts.withColumn("source_file", file_name(F.col("path")))
     if manifest is None:
         return triage_listed(files.withColumn("on_disk", F.lit(True)), pages)
     return triage_manifest(manifest, files.drop("length"), pages)

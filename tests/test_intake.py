@@ -101,3 +101,24 @@ def test_text_layer_is_whole_and_in_page_order(spark):
             (0, 4, "<0><1><2><3>"),
             (1, 2, "<11><12>"),
         ]
+
+
+def test_one_file_does_not_end_the_run(spark, tmp_path):
+    write(
+        tmp_path,
+        long__pdf=b"%PDF-1.7" + b" " * 500,
+        word__pdf=b"%PDF-1.7 how to use /Encrypt in a file",
+        inline__pdf=b"%PDF-1.7 trailer << /Encrypt<< /V 4 >> >>",
+    )
+    pages = spark.createDataFrame([(f"{n}.pdf", 1, n, False) for n in ("long", "word", "inline")], PAGES)
+    setting = "spark.sql.sources.binaryFile.maxLength"
+    spark.conf.set(setting, "400")
+    try:
+        reasons = {r.source_file: r.reason for r in triage_folder(spark, str(tmp_path), pages).collect()}
+    finally:
+        spark.conf.unset(setting)
+    assert reasons == {
+        "long.pdf": "Could not open file - it may be corrupted: longer than 400 bytes",
+        "word.pdf": "OK",
+        "inline.pdf": "PDF is password protected",
+    }
