@@ -7,8 +7,13 @@ tiles are made, and both lose no link:
 * By prefix, for a small radius: within `radius` differing bits two fingerprints agree on at least one of
   `radius + 1` equal stretches of their bits, so tiles hold fingerprints with one prefix of one stretch.
   The prefix gets longer with the number of fingerprints, so a tile keeps its size while the data grow.
-* By length, for a large radius, where no prefix is shared: texts whose numbers of shingles differ by more
-  than `ratio` are not that similar, so tiles hold texts of one length and the next.
+* By length, for a large radius, where no prefix is shared: texts whose numbers of different shingles differ
+  by more than `ratio` are not that similar, so tiles hold texts of one length and the next.
+
+Near copies for a corpus are decided on the shingles: the fingerprints only say what may be alike, with a
+radius that pairs of similarity 0.8 hardly ever exceed, and a link is one whose sets of shingles have a
+Jaccard similarity of `NEAR_RATIO` at least. Sets of shingles are made for texts with a possible partner
+only, and are compared in tiles of each component of possible partners. Texts with one set of shingles are one.
 
 What is more than one tile under one key is dealt to several by a hash, and each pair of those tiles is
 compared in a task of its own. A pair returns the links of a spanning forest, not all pairs.
@@ -19,14 +24,14 @@ repeated rows are linked to each other; an empty table gives an empty result. Co
 `doc_id, text` are not read.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .components import components
-from .tasks import drop_rows, row_number_of, ship, staged, whole_text, with_rows
+from .tasks import ROW, drop_rows, row_number_of, ship, staged, whole_text, with_rows
 from .words import mixed
 
 SEED = 42
@@ -37,23 +42,21 @@ WORD_BITS = 64
 TILE = 2048
 
 # Near copies for a corpus: five words, similarity 0.8. Texts of similarity 0.8 differ in 39 of 256 bits,
-# give or take 6; 50 bits are 0.69.
-NEAR_WORDS, NEAR_BITS, NEAR_RADIUS, NEAR_TILE, NEAR_RATIO = 5, 256, 50, 32_768, 0.8
-# What their first 64 bits may differ in: 10 at similarity 0.8, give or take 3.
-FIRST_WORD_RADIUS = 20
-
+# give or take 6, and those of four and five shingles in 48, give or take 6; unlike texts in 128, give or take 8.
+NEAR_WORDS, NEAR_BITS, NEAR_RADIUS, NEAR_TILE, NEAR_RATIO = 5, 256, 72, 32_768, 0.8
+# What their first 64 bits may differ in: 10 at similarity 0.8, give or take 3; 12 for the shortest.
+FIRST_WORD_RADIUS = 24
+# Texts and shingles of one tile when sets of shingles are compared.
+SET_TILE, SET_SHINGLES = 4096, 4 << 20
 
-def fingerprint(text: str, words: int = WORDS, bits: int = WORD_BITS) -> tuple[list[int], int]:
-    """The fingerprint as 64-bit words, and the number of shingles.
 
-    A bit is set if it is set in over half of the hashes of all word shingles, repeats included. The
-    first word takes the XXH64 itself, further ones what a mixing function makes of it.
-    """
+def shingle_hashes(text: str, words: int) -> np.ndarray:
+    """XXH64 of each word shingle, in order; a text of fewer words is one shingle."""
     from xxhash import xxh64_intdigest
 
     found = text.encode().lower().split()  # bytes lower A-Z and split at ASCII white space only
     if not found:
-        return [0] * (bits // WORD_BITS), 0
+        return np.zeros(0, "<u8")
     data = b" ".join(found)
     if len(found) <= words:
         digests = [xxh64_intdigest(data, SEED)]
@@ -61,25 +64,47 @@ def fingerprint(text: str, words: int = WORDS, bits: int = WORD_BITS) -> tuple[l
         ends = np.cumsum([len(word) + 1 for word in found]) - 1
         starts = np.concatenate([[0], ends[:-words] + 1]).tolist()
         digests = [xxh64_intdigest(data[a:b], SEED) for a, b in zip(starts, ends[words - 1 :].tolist())]
-    hashes = np.array(digests, "<u8")
+    return np.array(digests, "<u8")
+
+
+def fingerprint_of(hashes: np.ndarray, bits: int = WORD_BITS) -> list[int]:
+    """A bit is set if it is set in over half of the hashes. The first word takes the XXH64 itself, further
+    ones what a mixing function makes of it."""
+    if not len(hashes):
+        return [0] * (bits // WORD_BITS)
     out = []
     for number in range(bits // WORD_BITS):
         by_byte = (mixed(hashes + np.uint64(number)) if number else hashes).view(np.uint8).reshape(-1, 8)
         ones = [np.bincount(by_byte[:, place], minlength=256) @ _BYTE_BITS for place in range(8)]
         out.append(int(np.packbits(np.concatenate(ones) * 2 > len(hashes), bitorder="little").view("<u8")[0]))
-    return out, len(hashes)
+    return out
+
+
+def fingerprint(text: str, words: int = WORDS, bits: int = WORD_BITS) -> tuple[list[int], int]:
+    """The fingerprint as 64-bit words, and the number of shingles; repeats count in both."""
+    hashes = shingle_hashes(text, words)
+    return fingerprint_of(hashes, bits), len(hashes)
+
+
+def set_fingerprint(text: str, words: int, bits: int) -> tuple[list[int], int]:
+    """The fingerprint of the set of shingles, with a hash of the whole set as its last word, and their number."""
+    from xxhash import xxh64_intdigest
+
+    hashes = np.unique(shingle_hashes(text, words))
+    return [*fingerprint_of(hashes, bits), xxh64_intdigest(hashes.tobytes(), SEED)], len(hashes)
 
 
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS, bits: int = WORD_BITS) -> DataFrame:
+def fingerprints(docs: DataFrame, words: int = WORDS, bits: int = WORD_BITS, sets: bool = False) -> DataFrame:
     """`row, doc_id, fp, size`, written out; `fp` is an array of signed 64-bit integers."""
     ship(docs.sparkSession)
+    made = set_fingerprint if sets else fingerprint
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(text.as_py(), words, bits) for text in batch["text"]]
+            found = [made(text.as_py(), words, bits) for text in batch["text"]]
             signed = [np.array(fp, np.uint64).view(np.int64).tolist() for fp, _ in found]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -106,11 +131,17 @@ def stretches(radius: int) -> list[tuple[int, int]]:
 
 
 def compare_tiles(
-    fps: np.ndarray, side: np.ndarray | None, radius: int, first_radius: int | None = None, block: int = 64
+    fps: np.ndarray,
+    side: np.ndarray | None,
+    radius: int,
+    first_radius: int | None = None,
+    block: int = 64,
+    alike: Callable[[int, np.ndarray], np.ndarray] | None = None,
 ) -> list[tuple[int, int]]:
     """Links, as places, of a spanning forest over fingerprints (n x words) within `radius` bits.
 
-    With `side` only pairs of different sides are compared.
+    With `side` only pairs of different sides are compared. With `alike` a link also needs its consent, asked
+    for a place and others that are not yet connected with it.
     """
     fps = fps.view(np.uint64)
     counts = np.bitwise_count(fps).sum(1, dtype=np.int64)
@@ -134,6 +165,9 @@ def compare_tiles(
                 found = found[np.bitwise_count(fps[found] ^ fps[i]).sum(1, dtype=np.int64) <= radius]
             if not len(found):
                 continue
+            if alike is not None:
+                found = found[label[found] != label[i]]
+                found = found[alike(int(order[i]), order[found])] if len(found) else found
             labels = label[found]
             for other in np.unique(labels[labels != label[i]]).tolist():
                 links.append((int(order[i]), int(order[found[np.argmax(labels == other)]])))
@@ -204,6 +238,66 @@ def links_within(
     return entries.groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
 
+class _Sets:
+    """Sets of shingles of one tile, as numbers; says which of them are alike."""
+
+    def __init__(self, hashes: list[np.ndarray], ratio: float):
+        self.sizes = np.array([len(x) for x in hashes], np.int64)
+        self.ends = np.cumsum(self.sizes)
+        different, self.numbers = np.unique(np.concatenate(hashes), return_inverse=True)
+        self.mine = np.zeros(len(different) + 1, bool)
+        self.ratio = ratio
+
+    def __call__(self, one: int, others: np.ndarray) -> np.ndarray:
+        own = self.numbers[self.ends[one] - self.sizes[one] : self.ends[one]]
+        sizes = self.sizes[others]
+        possible = np.minimum(sizes, len(own)) >= self.ratio * np.maximum(sizes, len(own)) - 1e-9
+        out = np.zeros(len(others), bool)
+        self.mine[own] = True
+        for at in np.flatnonzero(possible & (sizes > 0)).tolist():
+            end = self.ends[others[at]]
+            common = int(np.count_nonzero(self.mine[self.numbers[end - sizes[at] : end]]))
+            out[at] = common >= self.ratio * (sizes[at] + len(own) - common) - 1e-9
+        self.mine[own] = False
+        return out
+
+
+def links_of_sets(docs: DataFrame, possible: DataFrame, words: int, radius: int, ratio: float, first_radius: int | None) -> DataFrame:
+    """`a, b`: those links, of a spanning forest, whose sets of shingles are `ratio` alike.
+
+    `possible` has `id, fp, size, root`: texts by the row that stands for them, and the component of possible
+    partners; `docs` has the rows' texts under `ROW`.
+    """
+    ship(docs.sparkSession)
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(text.as_py(), words)).tobytes() for text in batch["text"]]
+            names = ["id", "fp", "root", "tiles"]
+            yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), pa.array(sets, pa.binary())], names=[*names, "hashes"])
+
+    tiles = F.greatest(F.ceil(F.count("*") / SET_TILE), F.ceil(F.sum("size") / SET_SHINGLES)).cast("int").alias("tiles")
+    possible = possible.join(possible.groupBy("root").agg(tiles), "root")
+    texts = docs.select(F.col(ROW).alias("id"), whole_text().alias("text"))
+    entries = texts.join(possible.select("id", "fp", "root", "tiles"), "id").select("id", "fp", "root", "tiles", "text")
+    entries = entries.mapInArrow(shingles, "id long, fp array<long>, root long, tiles int, hashes binary")
+    own = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
+    entries = entries.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    i, j = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    entries = entries.select("root", i, j, "own", "id", "fp", "hashes")
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        ids, own = table["id"].to_numpy(), table["own"].to_numpy()
+        # The last word stands for the whole set and is no part of the fingerprint.
+        fps = table["fp"].combine_chunks().values.to_numpy(zero_copy_only=False).reshape(len(ids), -1)[:, :-1]
+        sets = _Sets([np.frombuffer(x.as_py(), "<u8") for x in table["hashes"]], ratio)
+        side = None if key[1].as_py() == key[2].as_py() else own
+        found = compare_tiles(np.ascontiguousarray(fps), side, radius, first_radius, alike=sets)
+        return pa.table({"a": pa.array([ids[x] for x, _ in found], pa.int64()), "b": pa.array([ids[y] for _, y in found], pa.int64())})
+
+    return entries.groupBy("root", "i", "j").applyInArrow(run, "a long, b long").distinct()
+
+
 def near_groups(
     docs: DataFrame,
     words: int = WORDS,
@@ -213,12 +307,22 @@ def near_groups(
     ratio: float | None = None,
     first_radius: int | None = None,
 ) -> DataFrame:
-    """`row, doc_id, fp, component_id, stays`: one row of each component stays, the one with its id."""
-    rows = fingerprints(docs, words, bits)
+    """`row, doc_id, fp, component_id, stays`: one row of each component stays, the one with its id.
+
+    With `ratio` the sets of shingles decide, and `docs` has numbered rows (`with_rows`).
+    """
+    rows = fingerprints(docs, words, bits, ratio is not None)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
     distinct = rows.groupBy("fp").agg(first, F.count("*").alias("n_rows"), F.min("size").alias("size"))
     distinct = staged(distinct.withColumn("id", F.col("first.row")), "distinct")
-    links = links_within(distinct.select("id", "fp", "size"), radius, tile, ratio, first_radius)
+    if ratio is None:
+        links = links_within(distinct.select("id", "fp", "size"), radius, tile)
+    else:
+        only = distinct.select("id", F.slice("fp", 1, bits // WORD_BITS).alias("fp"), "size")
+        near = staged(components(links_within(only, radius, tile, ratio, first_radius), "a", "b"), "possible")
+        near = near.unionByName(near.select(F.col("root").alias("node"), "root").distinct())
+        possible = distinct.join(near, distinct["id"] == F.col("node")).select("id", "fp", "size", "root")
+        links = links_of_sets(docs, staged(possible, "possible"), words, radius, ratio, first_radius)
     roots = staged(components(links, "a", "b"), "roots")
     # Only fingerprints with a partner, or with several rows, need a lookup.
     heads = roots.select(F.col("root").alias("node"), "root").distinct()

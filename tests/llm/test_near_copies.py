@@ -1,0 +1,48 @@
+"""The pipeline's near copies against brute force over sets of five-word shingles."""
+
+import re
+
+import numpy as np
+import pytest
+
+from tallywright.llm import simhash
+from tallywright.llm.tasks import with_rows
+
+
+def shingles(text):
+    words = re.findall(rb"[^\x20\x09-\x0D]+", text.encode().lower())
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute_force(texts):
+    sets = [shingles(text) for text in texts]
+    label = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or 5 * len(a & b) >= 4 * len(a | b):
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    return label
+
+
+def components_of(spark, tmp_path, texts):
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).write.parquet(path)
+    rows = simhash.near_copies(with_rows(spark.read.parquet(path))).collect()
+    return [r.component_id for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
+@pytest.mark.parametrize("tile", [4096, 20])
+def test_links_are_those_of_the_shingles(spark, tmp_path, monkeypatch, tile):
+    monkeypatch.setattr(simhash, "SET_TILE", tile)
+    rng = np.random.default_rng(11)
+    texts = []
+    for n in (9, 14, 40, 120, 400):
+        for similarity in (0.6, 0.65, 0.7, 0.75, 0.79, 0.8, 0.81, 0.85, 0.9, 0.95):
+            words = [f"w{x}" for x in rng.integers(0, 10**6, n)]
+            # Of n - 4 shingles each, the words at the end are others.
+            other = round((n - 4) * (1 - similarity) / (1 + similarity))
+            texts += [" ".join(words), " ".join(words[: n - other] + [f"v{x}" for x in rng.integers(0, 10**6, other)])]
+    chain = [f"c{x}" for x in range(160)]
+    texts += [" ".join(chain[at : at + 100]) for at in range(0, 60, 20)]  # 80 % and less of each other's shingles
+    assert components_of(spark, tmp_path, texts) == brute_force(texts)
