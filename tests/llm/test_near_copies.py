@@ -46,3 +46,11 @@ def test_links_are_those_of_the_shingles(spark, tmp_path, monkeypatch, tile):
     chain = [f"c{x}" for x in range(160)]
     texts += [" ".join(chain[at : at + 100]) for at in range(0, 60, 20)]  # 80 % and less of each other's shingles
     assert components_of(spark, tmp_path, texts) == brute_force(texts)
+
+
+def test_repeated_lines_count_once(spark, tmp_path):
+    line = " ".join(f"l{n}" for n in range(12)) + "\n"
+    tail = " ".join(f"t{n}" for n in range(60))
+    texts = [line * 100, line * 200, line * 200 + "end", line * 2 + tail, line * 30 + tail, "", None, "x y"]
+    got = components_of(spark, tmp_path, texts)
+    assert got == brute_force([text or "" for text in texts]) == [0, 0, 0, 3, 3, 5, 5, 7]
