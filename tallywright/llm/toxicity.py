@@ -5,7 +5,8 @@ hashed into `2 ** bits` buckets. Training is follow-the-regularised-leader with
 coordinate; L1 leaves few weights, which are broadcast and looked up while every text is read once.
 
 The labelled rows used for training are a sample of at most about `sample` documents, taken by a hash of
-the doc_id, so its size is bounded however many labels there are. It is dealt to
+the doc_id, with one text (that of the smallest hash) for each doc_id, so its size is bounded however many
+labels and rows there are. It is dealt to
 learners of about `learner_rows` rows that run side by side; their weights are averaged.
 
 Nulls and odd rows: a null text is empty; an empty text has no feature and gets the score of the bias
@@ -104,7 +105,9 @@ def training_rows(
     shards = max(1, -(-min(n, sample) // learner_rows))
     chosen = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return texts.join(chosen, "doc_id"), shards
+    # One text for each doc_id: many rows of one doc_id would all go to one learner.
+    one = texts.join(chosen, "doc_id").groupBy("doc_id")
+    return one.agg(F.first("toxic").alias("toxic"), F.min_by("text", F.xxhash64("text")).alias("text")), shards
 
 
 def train(
