@@ -7,13 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontaminate import op10_decontamination
 from .exact import op4_exact_dedup
 from .language import op6_language_id
+from .lexical import TOP, op13_lexical_search
 from .packing import op8_packing
 from .secret_scan import op7_secret_scan
 from .sharding import SHARDS, SLOTS_PER_SHARD, next_prime, op1_sharding
 from .simhash import op5_simhash
-from .token_files import op3_token_files
 from .suffixes import op9_suffix_dedup
+from .token_counts import op12_token_counts
+from .token_files import op3_token_files
 from .toxicity import op2_toxicity
+from .whitening import op11_whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -28,10 +31,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_suffix_dedup,
         op10_decontamination,
+        op11_whitening,
+        op12_token_counts,
+        op13_lexical_search,
     )
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# Fixed: what terms of the ranked search are made of.
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SLOTS = next_prime(SLOTS_PER_SHARD * SHARDS)
 
 ORACLE = {
@@ -68,4 +76,35 @@ ORACLE = {
         FROM (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents)
         WINDOW same AS (PARTITION BY t)
     """,
+    # `row` and `item` tell repeated ids apart; // divides whole numbers, rounding down.
+    "op13_lexical_search": rf"""
+        WITH split AS (
+            SELECT row_number() OVER () AS row, doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TERM}') AS words
+            FROM documents
+        ), docs AS (SELECT *, len(words) AS n FROM split WHERE len(words) > 0),
+        corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM docs),
+        items AS (
+            SELECT row_number() OVER () AS item, item_id,
+                   list_distinct(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TERM}')) AS words
+            FROM (SELECT DISTINCT item_id, text FROM benchmark)
+        ), asked AS (SELECT item, item_id, unnest(words) AS term FROM items),
+        postings AS (
+            SELECT row, doc_id, n, term, count(*) AS tf
+            FROM (SELECT row, doc_id, n, unnest(words) AS term FROM docs)
+            WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+        ), weights AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+            FROM postings, corpus GROUP BY term, docs
+        ), scored AS (
+            SELECT item, item_id, row, doc_id,
+                   sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+            FROM postings JOIN weights USING (term) JOIN asked USING (term), corpus GROUP BY ALL
+        )
+        SELECT item_id, rank, doc_id, score
+        FROM (SELECT *, row_number() OVER (
+                  PARTITION BY item ORDER BY score DESC, doc_id NULLS FIRST)::INTEGER AS rank
+              FROM scored WHERE score > 0)
+        WHERE rank <= {TOP}
+    """,
 }
