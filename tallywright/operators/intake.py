@@ -36,12 +36,13 @@ def unopenable_detail(length: Column, head: Column) -> Column:
     )
 
 
-def byte_facts(files: DataFrame) -> DataFrame:
-    """From `binaryFile` rows: `open_error` (T3) and `is_encrypted` (T5)."""
+def byte_facts(files: DataFrame, *more: str) -> DataFrame:
+    """From `binaryFile` rows: `open_error` (T3) and `is_encrypted` (T5), and the columns `more`."""
     content = F.decode("content", "ISO-8859-1")
     return files.select(
         "path",
         "length",
+        *more,
         unopenable_detail(F.col("length"), F.col("content")).alias("open_error"),
         ((F.instr(content, ENCRYPTION_MARK) > 0) & content.rlike(ENCRYPTION_ENTRY)).alias("is_encrypted"),
     )

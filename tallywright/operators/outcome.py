@@ -38,15 +38,20 @@ def outcomes(df: DataFrame) -> DataFrame:
     )
 
 
-def summary(outcome_rows: DataFrame) -> DataFrame:
-    """Total, valid, needs review, failed; one row, zeros for an empty run."""
+def summary_columns() -> dict[str, Column]:
+    """Total, valid, needs review, failed, as aggregates over outcome rows."""
     outcome = F.col("outcome")
-    return outcome_rows.agg(
-        F.count("*").alias("total_files"),
-        F.count_if(outcome == fixed.VALID).alias("valid"),
-        F.count_if(outcome == fixed.NEEDS_REVIEW).alias("needs_review"),
-        F.count_if(outcome == fixed.FAILED).alias("failed"),
-    )
+    return {
+        "total_files": F.count("*"),
+        "valid": F.count_if(outcome == fixed.VALID),
+        "needs_review": F.count_if(outcome == fixed.NEEDS_REVIEW),
+        "failed": F.count_if(outcome == fixed.FAILED),
+    }
+
+
+def summary(outcome_rows: DataFrame) -> DataFrame:
+    """One row of counts, zeros for an empty run."""
+    return outcome_rows.agg(*(column.alias(name) for name, column in summary_columns().items()))
 
 
 def review_list(outcome_rows: DataFrame) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Distinct numbers a run may send to every task of the lookup in the store; tens of megabytes.
-BROADCAST_NUMBERS = 500_000
+from ..shared import ROW, stage_numbered
+
+# Buckets of the key store; a lookup sends at most so many rows to every task.
+KEY_BUCKETS = 256
 
 
 def invoice_key(number: Column) -> Column:
@@ -11,53 +13,79 @@ def invoice_key(number: Column) -> Column:
     return F.sha2(number, 256)
 
 
-def first_files(
-    candidates: DataFrame, stored_numbers: DataFrame | None = None
-) -> DataFrame:
-    """`source_file` of the documents that may be stored.
+def key_bucket(number: Column) -> Column:
+    """Where the key store keeps a number."""
+    return F.pmod(F.xxhash64(number), F.lit(KEY_BUCKETS)).cast("int")
+
 
-    `candidates` has `invoice_number, source_file`, the file name being unique. Per number the first
-    file in name order wins, unless the number is stored already. The minimum is taken map-side
-    first, so a number shared by a third of all files costs each task one row; what is left is one
-    row per number, for which the lookup in `stored_numbers` is a join without skew.
+def keys_nearby(keys: DataFrame, candidates: DataFrame) -> DataFrame:
+    """`keys` (with `bucket`) from the buckets that numbers of `candidates` can be in.
+
+    The store grows without end while a run is often small. What travels to it are the run's distinct
+    buckets, `KEY_BUCKETS` at most, and the scan takes only folders of these buckets (dynamic
+    partition pruning): the work follows the run, not the store.
     """
-    firsts = candidates.groupBy("invoice_number").agg(F.min("source_file").alias("source_file"))
-    if stored_numbers is not None:
-        firsts = firsts.join(stored_numbers.select("invoice_number"), "invoice_number", "left_anti")
-    return firsts.select("source_file")
+    numbers = candidates.filter(F.col("invoice_number") > "")
+    buckets = numbers.select(key_bucket(F.col("invoice_number")).alias("bucket")).distinct()
+    return keys.join(F.broadcast(buckets), "bucket", "left_semi")
 
 
-def stored_among(
-    stored_numbers: DataFrame, candidates: DataFrame, broadcast_limit: int = BROADCAST_NUMBERS
-) -> DataFrame:
-    """The stored numbers that matter for `candidates`, whose `invoice_number` must be cheap to read.
+def number_holders(df: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """One row per number that documents of `df` without a reason compete for.
 
-    The store grows without end while a run is often small. Up to `broadcast_limit` distinct numbers
-    (counted, not guessed) travel to the store, which is then read by column and never shuffled.
-    A larger run leaves the store as it is, for a join that shuffles both sides.
+    `invoice_number, first, winner, holder`: `first` is the first file in name order with its row,
+    `winner` that row if it keeps the number, and `holder` the stored file that loses it. `stored` has
+    `invoice_number` and, where a later document may take a number over, `holder, holder_run`: that
+    document's name must come first. The minimum is taken map-side, so a number shared by a third of
+    all files costs each task one row.
     """
-    numbers = candidates.select("invoice_number").filter("invoice_number IS NOT NULL").distinct()
-    if numbers.limit(broadcast_limit + 1).count() > broadcast_limit:
-        return stored_numbers
-    return stored_numbers.join(F.broadcast(numbers), "invoice_number", "left_semi")
+    open_cases = df.filter(F.col("reason").isNull() & F.col("invoice_number").isNotNull())
+    first = F.min(F.struct("source_file", ROW)).alias("first")
+    numbers = open_cases.groupBy("invoice_number").agg(first, F.count("*").alias("n"))
+    if stored is None:
+        nobody = F.lit(None).cast("struct<holder:string,holder_run:string>")
+        return numbers.withColumns({"winner": F.col(f"first.{ROW}"), "holder": nobody})
+    if "holder" not in stored.columns:
+        none = F.lit(None).cast("string")
+        stored = stored.withColumns({"holder": none, "holder_run": none})
+    known = stored.groupBy("invoice_number").agg(
+        F.bool_or(F.col("holder").isNull()).alias("is_final"),
+        F.min(F.struct("holder", "holder_run")).alias("held"),
+    )
+    taken = F.col("is_final") | (F.col("held.holder") <= F.col("first.source_file"))
+    free = F.col("is_final").isNull()
+    joined = numbers.join(known, "invoice_number", "left")
+    return joined.select(
+        "invoice_number",
+        "first",
+        "n",
+        F.when(free | ~taken, F.col(f"first.{ROW}")).alias("winner"),
+        F.when(~free & ~taken, F.col("held")).alias("holder"),
+    )
 
 
-def mark_first(
-    df: DataFrame, stored_numbers: DataFrame | None = None
-) -> DataFrame:
+def mark_winners(df: DataFrame, holders: DataFrame) -> DataFrame:
     """Add `is_first` to documents without a reason yet; false for everything else.
 
-    Each row gets a number of its own, so two rows with one file name compete like any others. Joins
-    back on that number, not on the invoice number, which may be hot. `df` is a written table: it is
-    read twice and numbered as it is read.
+    Nearly every number has one document, which wins without being looked up. Only contested numbers
+    are joined to the documents: adaptive execution broadcasts them while they are few and splits a
+    hot one otherwise.
+    """
+    contested = holders.filter((F.col("n") > 1) | F.col("winner").isNull())
+    lookup = contested.select("invoice_number", F.lit(True).alias("_contested"), "winner")
+    alone = F.col("_contested").isNull() | (F.col("winner") == F.col(ROW))
+    is_first = F.col("reason").isNull() & F.coalesce(alone, F.lit(False))
+    return df.join(lookup, "invoice_number", "left").withColumn("is_first", is_first).drop(
+        "_contested", "winner"
+    )
+
+
+def mark_first(df: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """Documents with `is_first`, the first file of each number in name order unless it is stored.
+
+    Two rows with one file name compete like any others, by the numbers of `stage_numbered`; a table
+    without them is written first.
     """
-    numbered = df.withColumn("_row", F.monotonically_increasing_id())
-    open_cases = numbered.filter(F.col("reason").isNull())
-    best = F.min(F.struct("source_file", "_row")).alias("_best")
-    firsts = open_cases.groupBy("invoice_number").agg(best)
-    if stored_numbers is not None:
-        firsts = firsts.join(stored_numbers.select("invoice_number"), "invoice_number", "left_anti")
-    winners = firsts.select(F.col("_best._row").alias("_row"), F.lit(True).alias("is_first"))
-    return numbered.join(winners, "_row", "left").withColumn(
-        "is_first", F.coalesce("is_first", F.lit(False))
-    ).drop("_row")
+    rows = df if ROW in df.columns else stage_numbered(df, "documents")
+    marked = mark_winners(rows, number_holders(rows, stored))
+    return marked if ROW in df.columns else marked.drop(ROW)

@@ -14,9 +14,10 @@ from ..operators.uniqueness import mark_first
 from ..shared import scratch_folder, stage
 from ..sources.assembly import document_totals
 from ..sources.responses import first_document, parse_responses
-from ..sources.store import as_text, read_outcomes
-from ..streaming.arrivals import store_arrivals
+from ..sources.store import as_text, derive_line_items, read_line_items, read_outcomes, stored_audit
+from ..streaming.arrivals import joined_arrivals, retry_rejects, store_arrivals
 from . import conversations, tables
+from .batch import commit_run
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -536,25 +537,94 @@ def findings_list(spark, sf_dir):
     return reporting.findings_list(tables.stored_documents(spark, sf_dir, *columns))
 
 
-# Stream.
+# Store and stream.
+
+
+def _committed_runs(spark, sf_dir) -> str:
+    """Two runs over all orders, even keys first, with their items; returns the store's folder."""
+    judged = stage(tables.lines(spark, sf_dir), "judged-lines")
+    responses = tables.recorded_responses(spark, sf_dir, judged)
+    documents = tables.judge_recorded(tables.named(responses.withColumn("has_response", F.lit(True))))
+    root = f"{scratch_folder(spark, 'runs')}/store"
+    for run_id, residue in (("even", 0), ("odd", 1)):
+        own = F.col("order_key") % 2 == residue
+        commit_run(spark, documents.filter(own), root, run_id, tables.item_rows(judged).filter(own))
+        derive_line_items(spark, root)
+    return root
+
+
+@query
+def stored_items(spark, sf_dir):
+    """The written items of both runs under their invoice's key."""
+    items = read_line_items(spark, _committed_runs(spark, sf_dir))
+    return items.select(
+        "run_id",
+        "invoice_id",
+        "position",
+        "description",
+        "quantity",
+        out_price(F.col("unit_price")).alias("unit_price"),
+        amount("line_total").alias("line_total"),
+    )
+
+
+@query
+def write_audit(spark, sf_dir):
+    """What was counted while both runs were written; the tables are not read again."""
+    return stored_audit(spark, _committed_runs(spark, sf_dir))
+
+
+@query
+def retried_rejects(spark, sf_dir):
+    """Responses of every 53rd order come late: rejects first, then tried again when they are there."""
+    judged = tables.lines(spark, sf_dir)
+    responses = tables.recorded_responses(spark, sf_dir, judged).withColumn("has_response", F.lit(True))
+    files = tables.named(responses.select("order_key", "source_file"))
+    early = responses.filter(~tables.every(53)).drop("order_key")
+    root = f"{scratch_folder(spark, 'retries')}/store"
+    start = F.lit(f"{tables.AS_OF} 00:00:00").cast("timestamp")
+    first = tables.judge_recorded(files.join(early, "source_file", "left"))
+    commit_run(spark, first, root, "first", now=start)
+
+    def answered(waiting: DataFrame) -> DataFrame:
+        return tables.judge_recorded(waiting.join(responses, "source_file", "left"))
+
+    later = start + F.expr("INTERVAL 1 HOUR")
+    retry_rejects(spark, None, root, "again", now=later, judged=answered)
+    return read_outcomes(spark, root).select(
+        "run_id", "source_file", "outcome", F.coalesce("reason", F.lit("")).alias("reason")
+    )
+
+
+# How long the files of `arrival_stream` wait for their response, and the watermarks' delay.
+PATIENCE, DELAY = "37 HOURS", "5 HOURS"
 
 
 @query
 def arrival_stream(spark, sf_dir):
-    """Orders arrive as documents without items and run through the streaming store."""
+    """Files and responses arrive as two streams, one file and one response per order.
+
+    A response comes 0 to 19 hours and 30 minutes after its file, that of every 53rd order never. Time
+    is that of the orders: a file without a response has its outcome once its wait is over.
+    """
     schema = table(spark, sf_dir, "orders").schema
-    # A pattern, because a stream takes a single file only that way; a folder of parts fits as well.
-    orders = spark.readStream.schema(schema).parquet(f"{sf_dir}/orders.parquet*")
-    arrived = orders.withColumn("order_key", F.col("o_orderkey")).select(
-        tables.source_file().alias("source_file"),
-        F.array(F.struct(tables.order_fields().alias("fields"))).alias("documents"),
-        F.lit(None).cast("string").alias("_corrupt_record"),
-    )
+    # A pattern that only this name fits: a stream takes a single file in no other way.
+    orders = spark.readStream.schema(schema).parquet(f"{sf_dir}/orders.parque[t]")
+    responses = tables.recorded_responses(spark, sf_dir, tables.lines(spark, sf_dir))
+    late = F.make_dt_interval(hours=(F.col("order_key") % 20).cast("int"), mins=F.lit(30))
+    recorded = stage(
+        responses.filter(~tables.every(53)).withColumn("response_time", F.col("order_time") + late).drop(
+            "order_key", "order_time"
+        ),
+        "recorded",
+    )
+    answers = spark.readStream.schema(recorded.schema).parquet(recorded.inputFiles()[0].rsplit("/", 1)[0])
+    arrived = joined_arrivals(tables.order_files(orders), answers, PATIENCE, DELAY)
     folder = scratch_folder(spark, "arrivals")
-    started = store_arrivals(
-        arrived, f"{folder}/store", f"{folder}/checkpoint", F.lit(tables.AS_OF).cast("date")
-    )
+    root = f"{folder}/store"
+    started = store_arrivals(arrived, root, f"{folder}/checkpoint", judged=tables.judge_recorded)
     started.awaitTermination()
-    return read_outcomes(spark, f"{folder}/store").select(
-        "source_file", "outcome", F.coalesce("reason", F.lit("")).alias("reason")
+    outcomes = read_outcomes(spark, root)
+    return outcomes.select(
+        "source_file", "outcome", F.coalesce("reason", F.lit("")).alias("reason"), F.col("n_issues").cast("bigint").alias("n_issues")
     )

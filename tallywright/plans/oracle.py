@@ -163,6 +163,21 @@ outcome AS (
          CASE WHEN reason IS NOT NULL OR NOT is_first THEN 0 ELSE len(issues) END AS n_issues
   FROM decided)"""
 
+TAKEN = "Unexpected error: UNIQUE constraint failed: invoices.invoice_number"
+
+# Over `runs`, documents with the run they belong to: the earlier run that has a number keeps it, for
+# the first of its files in name order.
+WINNERS = """run_outcomes AS (
+  SELECT *, reason IS NULL AND 1 = row_number() OVER (
+             PARTITION BY invoice_number, reason IS NULL ORDER BY turn, source_file) AS won,
+         CASE WHEN len(issues) = 0 THEN 'valid' ELSE 'needs_review' END AS status
+  FROM (SELECT *, CASE run_id WHEN 'again' THEN 2 WHEN 'odd' THEN 2 ELSE 1 END AS turn FROM runs))"""
+
+RUNS = f"""{DOCUMENTS},
+runs AS (SELECT *, CASE WHEN k % 2 = 0 THEN 'even' ELSE 'odd' END AS run_id FROM assessed), {WINNERS},
+all_files AS (SELECT source_file FROM run_outcomes),
+kept AS (SELECT * FROM run_outcomes WHERE won)"""
+
 ITEM_COLUMNS = (
     "source_file, CAST(pos AS INTEGER) AS position, description, CAST(qty AS DOUBLE) AS quantity, "
     "round(unit_price, 8) AS unit_price, CAST(line_total AS DOUBLE) AS line_total"
@@ -442,19 +457,66 @@ ORACLE: dict[str, str] = {
            FROM (SELECT *, unnest(range(1, greatest(n, 1) + 1)) AS seq
                  FROM (SELECT *, len(warnings) + len(issues) AS n FROM stored))""",
     ),
-    "arrival_stream": f"""
-        WITH docs AS (
-          SELECT k, {SOURCE_FILE} AS source_file, {NUMBER} AS invoice_number,
-                 CASE WHEN k % 151 = 0 THEN 'Preprocessing failed: Expected a .pdf file, got ''.txt'''
-                      WHEN k % 113 = 0 AND k % 127 = 0
-                      THEN 'Extraction failed: Missing required field(s): vendor_name, total_amount'
-                      WHEN k % 113 = 0 THEN 'Extraction failed: Missing required field(s): vendor_name'
-                      WHEN k % 127 = 0 THEN 'Extraction failed: Missing required field(s): total_amount'
-                 END AS reason
-          FROM (SELECT o_orderkey AS k FROM orders)),
-        firsts AS (SELECT invoice_number, min(source_file) AS f FROM docs WHERE reason IS NULL GROUP BY 1)
-        SELECT source_file, CASE WHEN reason IS NULL AND source_file = f THEN 'needs_review' ELSE 'failed' END AS outcome,
-               CASE WHEN reason IS NOT NULL THEN reason WHEN source_file = f THEN ''
-                    ELSE 'Unexpected error: UNIQUE constraint failed: invoices.invoice_number' END AS reason
-        FROM docs LEFT JOIN firsts ON firsts.invoice_number = docs.invoice_number""",
+    "stored_items": _q(
+        RUNS,
+        f"""SELECT run_id, sha256(invoice_number) AS invoice_id, CAST(pos AS INTEGER) AS position, description,
+              CAST(qty AS DOUBLE) AS quantity, round(unit_price, 8) AS unit_price,
+              CAST(line_total AS DOUBLE) AS line_total
+            FROM judged JOIN kept ON kept.k = judged.k WHERE NOT is_skipped""",
+    ),
+    "write_audit": _q(
+        f"""{RUNS},
+            invoices AS (SELECT *, sha256(invoice_number) AS invoice_id FROM kept),
+            items AS (SELECT judged.*, invoice_id FROM judged JOIN invoices ON invoices.k = judged.k WHERE NOT is_skipped)""",
+        " UNION ALL ".join(
+            [
+                f"SELECT '{kind}' AS kind, '{name}' AS metric, CAST({value} AS BIGINT) AS value FROM {source}"
+                for kind, name, value, source in (
+                    ("run", "total_files", "count(*)", "all_files"),
+                    ("run", "valid", "count(*) FILTER (WHERE status = 'valid')", "kept"),
+                    ("run", "needs_review", "count(*) FILTER (WHERE status = 'needs_review')", "kept"),
+                    ("run", "failed", "(SELECT count(*) FROM all_files) - count(*)", "kept"),
+                    ("run", "invoices", "count(*)", "invoices"),
+                    ("items", "line_items", "count(*)", "items"),
+                    *(("run", f"invoices.{n} is null", f"count(*) - count({c})", "invoices") for n, c in (
+                        ("invoice_number", "invoice_number"), ("invoice_date", "invoice_date"),
+                        ("vendor_name", "vendor_name"), ("total_amount", "total_amount"),
+                        ("confidence_score", "score"), ("validation_status", "status"), ("source_file", "source_file"))),
+                    *(("items", f"line_items.{n} is null", f"count(*) - count({c})", "items") for n, c in (
+                        ("invoice_id", "invoice_id"), ("position", "pos"), ("description", "description"),
+                        ("quantity", "qty"), ("unit_price", "unit_price"), ("line_total", "line_total"))),
+                )
+            ]
+        ),
+    ),
+    "retried_rejects": _q(
+        f"""{DOCUMENTS},
+            runs AS (SELECT *, CASE WHEN k % 53 = 0 AND k % 151 <> 0 THEN 'again' ELSE 'first' END AS run_id FROM assessed),
+            {WINNERS}""",
+        f"""SELECT run_id, source_file, CASE WHEN won THEN status ELSE 'failed' END AS outcome,
+               CASE WHEN reason IS NOT NULL THEN reason WHEN won THEN '' ELSE '{TAKEN}' END AS reason
+            FROM run_outcomes""",
+    ),
+    "arrival_stream": _q(
+        f"""{DOCUMENTS},
+            timed AS (
+              SELECT a.*, o_orderdate AS file_time, k % 53 <> 0 AS has_response,
+                     CASE WHEN k % 53 <> 0 THEN o_orderdate + to_hours(CAST(k % 20 AS INTEGER)) + INTERVAL 30 MINUTE END AS response_time
+              FROM assessed a JOIN orders ON o_orderkey = k),
+            mark AS (SELECT least(max(file_time), max(response_time)) - INTERVAL 5 HOUR AS watermark FROM timed),
+            seen AS (
+              SELECT * REPLACE (CASE
+                       WHEN k % 151 = 0 THEN reason
+                       WHEN k % 149 = 0 THEN 'Preprocessing failed: Could not open file - it may be corrupted: no %PDF- signature'
+                       WHEN k % 163 = 0 THEN 'Preprocessing failed: PDF has no pages'
+                       WHEN k % 157 = 0 THEN 'Preprocessing failed: PDF is password protected'
+                       WHEN NOT has_response THEN 'Extraction failed: no analysis response was recorded for this file'
+                       ELSE reason END AS reason)
+              FROM timed, mark WHERE has_response OR file_time + INTERVAL 37 HOUR < watermark),
+            runs AS (SELECT *, 'one' AS run_id FROM seen), {WINNERS}""",
+        f"""SELECT source_file, CASE WHEN won THEN status ELSE 'failed' END AS outcome,
+               CASE WHEN reason IS NOT NULL THEN reason WHEN won THEN '' ELSE '{TAKEN}' END AS reason,
+               CASE WHEN won THEN len(issues) ELSE 0 END AS n_issues
+            FROM run_outcomes""",
+    ),
 }

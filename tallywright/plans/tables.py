@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.dates import iso
 from ..functions.text import fill, padded
 from .. import fixed
-from ..operators.intake import suffix
+from ..operators.intake import SIGNATURE, suffix, triage, unopenable_detail
 from ..operators.mapping import (
     STORED,
     item_aggregates,
@@ -20,10 +20,10 @@ from ..operators.mapping import (
 from ..operators.numbering import number_within
 from ..operators.outcome import reject_taken_numbers
 from ..operators.uniqueness import mark_first
-from ..schema import FIELD, HEADER_FIELDS, RAW_ITEM
 from ..shared import stage
 from ..sources.assembly import vat_of
-from .batch import judge
+from ..sources.responses import reject_unanswered
+from .batch import intake_verdict, judge
 
 AS_OF = "2006-01-01"
 SHIFT_DAYS = 1826
@@ -115,23 +115,6 @@ def order_facts(first_supplier: Column) -> dict[str, Column]:
     }
 
 
-def order_fields() -> Column:
-    """The fields an order alone can fill, for documents that arrive without line rows."""
-    date = shifted(F.col("o_orderdate"))
-    total = F.when(every(127), "n/a").otherwise(F.col("o_totalprice").cast(CENTS).cast("string"))
-    fields = {
-        "InvoiceId": as_field(invoice_number()),
-        "InvoiceDate": as_field(iso(date)),
-        "VendorName": F.when(~every(113), as_field(F.lit("Supplier#none"))),
-        "InvoiceTotal": as_field(total),
-        "DueDate": as_field(iso(F.date_add(date, 14))),
-    }
-    absent = F.lit(None).cast(FIELD)
-    members = [fields.get(name, absent).alias(name) for name in HEADER_FIELDS]
-    items = F.lit(None).cast(f"array<{RAW_ITEM}>").alias("Items")
-    return F.struct(*members, items)
-
-
 def headers(
     spark: SparkSession,
     sf_dir: str,
@@ -208,6 +191,7 @@ def headers(
     return documents.withColumns(
         {
             "source_file": source_file(),
+            "order_time": F.col("o_orderdate").cast("timestamp"),
             "fields": F.struct(*(column.alias(name) for name, column in fields.items())),
         }
     ).drop("s_name", "n_name", "c_name", "o_custkey", "o_totalprice", "o_orderdate", "tax")
@@ -251,6 +235,40 @@ def judged_documents(
     return judge(map_header(documents), F.lit(AS_OF).cast("date"))
 
 
+def recorded_responses(spark: SparkSession, sf_dir: str, judged: DataFrame) -> DataFrame:
+    """What the analysis would record per order, written once: its fields, and facts on its items."""
+    documents = headers(spark, sf_dir, facts_of(judged), customers=True)
+    facts = ("n_items", "items_sum", "flagged_items")
+    return stage(documents.select("source_file", "order_key", "fields", *facts, "order_time"), "responses")
+
+
+def judge_recorded(documents: DataFrame) -> DataFrame:
+    """`evaluate` for documents with recorded fields and item facts."""
+    mapped = map_header(with_item_findings(reject_unanswered(documents)))
+    return judge(mapped, F.lit(AS_OF).cast("date"))
+
+
+def item_rows(judged: DataFrame) -> DataFrame:
+    """Items of all documents as rows: `source_file`, `order_key` and the stored columns."""
+    kept = judged.filter(~F.col("is_skipped"))
+    return kept.withColumn("source_file", source_file()).select("source_file", "order_key", *STORED)
+
+
+def order_files(orders: DataFrame) -> DataFrame:
+    """Document files, one per order, with the facts that triage looks at."""
+    head = F.encode(F.when(every(149), "GIF89a").otherwise(f"{SIGNATURE}1.7"), "ISO-8859-1")
+    files = orders.withColumn("order_key", F.col("o_orderkey")).select(
+        source_file().alias("source_file"),
+        F.col("o_orderdate").cast("timestamp").alias("file_time"),
+        F.lit(True).alias("on_disk"),
+        unopenable_detail(F.lit(4096), head).alias("open_error"),
+        F.when(every(163), 0).otherwise(1).alias("page_count"),
+        every(157).alias("is_encrypted"),
+        F.lit(True).alias("has_text_layer"),
+    )
+    return intake_verdict(triage(files), F.col("file_time"))
+
+
 def decided_documents(
     spark: SparkSession, sf_dir: str, *columns: str, customers: bool = False
 ) -> DataFrame:

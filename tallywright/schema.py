@@ -37,6 +37,9 @@ RECORDED_ITEM = _struct(dict.fromkeys(ITEM_FIELDS, FIELD) | {"value": RAW_ITEM})
 RECORDED_FIELDS = _struct(dict.fromkeys(HEADER_FIELDS, FIELD) | {"Items": "string"})
 DOCUMENTS = f"array<struct<fields:{RECORDED_FIELDS}>>"
 
+# A file as Spark lists and reads it.
+FILE = "path string, modificationTime timestamp, length long, content binary"
+
 # One recorded answer of the field analysis.
 RESPONSE = f"source_file string, documents {DOCUMENTS}, _corrupt_record string"
 

@@ -3,10 +3,13 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+# Numbers the rows of a staged table; written with them, so every later read sees the same ones.
+ROW = "_row"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder; only a local session may fall back to its own disk."""
@@ -26,12 +29,17 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     """Write `df` once to the shared folder and go on from there.
 
     For results that several steps read: they get column pruning on the written table, and none of
     them repeats the work or depends on the executors that did it.
     """
     folder = scratch_folder(df.sparkSession, label)
-    df.write.parquet(folder)
+    df.write.parquet(folder, partitionBy=list(partition_by) or None)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def stage_numbered(df: DataFrame, label: str) -> DataFrame:
+    """`stage`, with a number for every row that does not depend on how the table is read later."""
+    return stage(df.withColumn(ROW, F.monotonically_increasing_id()), label)
