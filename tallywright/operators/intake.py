@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed
 from ..functions.text import fill, has_text
-from .numbering import LARGE_GROUP, number_within
+from .numbering import SLICE_ROWS, running_within
 
 # How a document of the right kind starts, and how far in the mark may stand.
 SIGNATURE = "%PDF-"
@@ -15,8 +15,11 @@ ENCRYPTION_ENTRY = ENCRYPTION_MARK + r"\s*(\d+\s+\d+\s+R\b|<<)"
 
 EMPTY_FILE = "empty file"
 
-# Pages of one file that share a text row; longer files get further rows.
-PAGES_PER_PART = 1000
+# Characters of a segment of a file's text.
+SEGMENT_CHARS = 1 << 20
+
+# Bytes of the end of a file, and from where its last cross-reference starts, that are looked at (T5).
+TAIL, REFERENCE = 16_384, 65_536
 
 
 def file_name(path: Column) -> Column:
@@ -36,15 +39,38 @@ def unopenable_detail(length: Column, head: Column) -> Column:
     )
 
 
+def _text(content: Column, first: Column, length: int) -> Column:
+    """Bytes as text, one character each; only this stretch is looked at."""
+    return F.decode(F.substr(content, first, F.lit(length)), "ISO-8859-1")
+
+
+def trailer(content: Column) -> Column:
+    """The dictionary a reader of the file starts from, as text; empty where there is none (T5).
+
+    The last `startxref` names the place of the last cross-reference. That is a table, with the
+    trailer behind it, or a stream, whose own dictionary is the trailer. Where a long table does not
+    end in the stretch read, the trailer is the last one of the file's end, which also stands in for a
+    place that cannot be found. Strings are blanked: an entry's name in a string is no entry.
+    """
+    tail = F.decode(F.substr(content, F.greatest(F.length(content) - TAIL + 1, F.lit(1))), "ISO-8859-1")
+    place = F.regexp_extract(tail, r"(?s).*startxref\s+(\d{1,18})", 1).try_cast("bigint")
+    place = F.when(place < F.length(content), place).cast("int")
+    at = F.coalesce(_text(content, place + 1, REFERENCE), F.lit(""))
+    behind = F.regexp_extract(at, r"(?s)^\s*xref\b.*?\btrailer\b(.*?)(?:startxref|$)", 1)
+    stream = F.regexp_extract(at, r"(?s)^\s*\d+\s+\d+\s+obj\b(.*?)(?:\bstream\b|\bendobj\b|$)", 1)
+    last = F.regexp_extract(tail, r"(?s).*\btrailer\b(.*)", 1)
+    found = F.coalesce(*(F.nullif(x, F.lit("")) for x in (behind, stream, last)), F.lit(""))
+    return F.regexp_replace(found, r"(?s)\((?:[^()\\]++|\\.)*+\)", "()")
+
+
 def byte_facts(files: DataFrame, *more: str) -> DataFrame:
     """From `binaryFile` rows: `open_error` (T3) and `is_encrypted` (T5), and the columns `more`."""
-    content = F.decode("content", "ISO-8859-1")
     return files.select(
         "path",
         "length",
         *more,
         unopenable_detail(F.col("length"), F.col("content")).alias("open_error"),
-        ((F.instr(content, ENCRYPTION_MARK) > 0) & content.rlike(ENCRYPTION_ENTRY)).alias("is_encrypted"),
+        trailer(F.col("content")).rlike(ENCRYPTION_ENTRY).alias("is_encrypted"),
     )
 
 
@@ -71,29 +97,27 @@ def page_facts(pages: DataFrame) -> DataFrame:
 
 
 def text_layer(
-    pages: DataFrame, pages_per_part: int = PAGES_PER_PART, large_file: int = LARGE_GROUP
+    pages: DataFrame, segment_chars: int = SEGMENT_CHARS, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
-    """Page texts of each file in page order, no separator.
+    """Page texts of each file in page order, no separator (T6), in segments of bounded length.
 
-    A file is one row (`part` 0) up to `pages_per_part` pages and continues in further rows after
-    that, so no group grows with the file. Concatenating parts in order gives the whole text. Pages
-    are counted off by position, which also bounds a part where page numbers repeat.
+    A page belongs to the segment in which it starts, `segment_chars` characters each, by the running
+    offset of the pages before it; so a segment is at most that long and one page more, however long
+    its file is, and the segments of a file spread over tasks. `start` is where a segment begins in
+    the whole text, which is the segments in order. Pages with one number follow in order of their text.
     """
-    texts = pages.select("source_file", "page_no", "text")
-    numbered = number_within(
-        texts, "source_file", ["page_no", "text"], large_group=large_file, counted=pages
-    )
-    part = F.floor((F.col("position") - 1) / pages_per_part).cast("int")
+    texts = pages.select("source_file", "page_no", F.coalesce("text", F.lit("")).alias("text"))
+    length = F.length("text").cast("bigint")
+    placed = running_within(texts, "source_file", ["page_no", "text"], {"start": length}, slice_rows=slice_rows)
+    segment = F.floor(F.col("start") / segment_chars).cast("int").alias("segment")
     ordered = F.array_sort(F.collect_list(F.struct("position", "text")))
     return (
-        numbered.groupBy("source_file", part.alias("part"))
-        .agg(ordered.alias("_pages"), F.bool_or(has_text(F.col("text"))).alias("part_has_text"))
-        .select(
-            "source_file",
-            "part",
-            F.size("_pages").alias("n_pages"),
-            F.array_join(F.transform("_pages", lambda page: page["text"]), "").alias("text"),
-            "part_has_text",
+        placed.groupBy("source_file", segment)
+        .agg(
+            F.min("start").alias("start"),
+            F.count("*").alias("n_pages"),
+            F.array_join(F.transform(ordered, lambda page: page["text"]), "").alias("text"),
+            F.bool_or(has_text(F.col("text"))).alias("segment_has_text"),
         )
     )
 

@@ -1,65 +1,78 @@
-"""Numbering rows inside a group when one group may hold a large part of the table."""
+"""Running counts and sums inside a group when one group may hold a large part of the table.
 
-from pyspark.sql import DataFrame, Window, functions as F
+A prefix count in one lazy plan: a group is cut into slices by the content of its rows, each slice is
+numbered by a window of its own, and what lies before a slice is added. The cuts are those of the
+group's rows whose hash falls on one in `SLICE_ROWS`, so a slice holds about that many rows whatever
+the size of the group, most groups have no cut at all, and the same rows give the same cuts however
+often and wherever they are read: no job runs while the plan is built, and nothing is written.
+"""
 
-from ..shared import shared_folder
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Rows one task can number comfortably; larger groups take the range-partitioned way.
-LARGE_GROUP = 1_000_000
+# Rows of a slice, on average.
+SLICE_ROWS = 1 << 20
+# Cuts that are searched one by one, after as many coarse ones.
+SEARCHED = 512
 
 
-def number_within(
+def _cuts(df: DataFrame, key: str, order: list[str], slice_rows: int) -> DataFrame:
+    """`key, _cuts`: sorted cuts of the groups that have any; one row in `slice_rows` is kept."""
+    chosen = df.filter(F.pmod(F.xxhash64(*order), F.lit(slice_rows)) == 0)
+    cuts = F.sort_array(F.collect_set(F.struct(*order))).alias("_cuts")
+    return chosen.filter(F.col(key).isNotNull()).groupBy(key).agg(cuts)
+
+
+def _slice(row: Column, cuts: Column) -> Column:
+    """How many cuts lie before `row`, or null without cuts; found in two steps."""
+    n = F.size(cuts)
+    places = F.sequence(F.lit(1), n, F.lit(SEARCHED))
+    coarse = F.size(F.filter(F.transform(places, lambda at: F.element_at(cuts, at)), lambda c: c < row))
+    start = F.greatest(coarse - 1, F.lit(0)) * SEARCHED
+    near = F.size(F.filter(F.slice(cuts, start + 1, F.lit(SEARCHED)), lambda c: c < row))
+    return F.when(n > 0, start + near)
+
+
+def running_within(
     df: DataFrame,
     key: str,
     order: list[str],
+    sums: dict[str, Column],
     name: str = "position",
-    large_group: int = LARGE_GROUP,
-    counted: DataFrame | None = None,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Add `name`: 1, 2, … within `key` by `order`.
+    """Add `name`: 1, 2, … within `key` by `order`, and running totals of `sums` before each row.
 
-    Usual groups go through one window. Groups above `large_group` rows, found by a count that
-    reads the key column alone, are sorted across many tasks instead: see `_number_large`.
-    `counted` is a cheaper frame with the same keys per row, where `df` comes out of joins.
+    Rows that agree in all of `order` lie in one slice and follow each other in any order.
     """
-    spark = df.sparkSession
-    large = (
-        (df if counted is None else counted).groupBy(key).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > large_group)
-    ).select(key)
-    window = Window.partitionBy(key).orderBy(*order)
-    if large.isEmpty():
-        return df.withColumn(name, F.row_number().over(window))
+    cut = df.join(_cuts(df, key, order, slice_rows), key, "left")
+    sliced = cut.withColumn("_slice", F.coalesce(_slice(F.struct(*order), F.col("_cuts")), F.lit(0)))
+    total = {f"_{n}": F.sum(c) for n, c in sums.items()} | {"_rows": F.count("*")}
+    # Only groups with cuts have slices before others: a few rows per such group.
+    counts = (
+        sliced.filter(F.col("_cuts").isNotNull())
+        .groupBy(key, "_slice")
+        .agg(*(column.alias(n) for n, column in total.items()))
+    )
+    earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(key, "_slice", *(F.sum(n).over(earlier).alias(n) for n in total))
+    inside = Window.partitionBy(key, "_slice").orderBy(*order)
+    until = inside.rowsBetween(Window.unboundedPreceding, -1)
 
-    shared_folder(spark)
-    # At most (rows / large_group) keys are left, so writing them out once is cheap.
-    large = large.checkpoint()
-    usual = df.join(large, key, "left_anti").withColumn(name, F.row_number().over(window))
-    return usual.unionByName(_number_large(df.join(large, key, "left_semi"), key, order, name))
+    def with_offset(n: str, own: Column) -> Column:
+        return F.coalesce(own, F.lit(0)) + F.coalesce(n, F.lit(0))
 
+    numbered = sliced.drop("_cuts").withColumns(
+        {f"_own_{n}": F.sum(c).over(until) for n, c in sums.items()} | {"_own": F.row_number().over(inside)}
+    )
+    placed = numbered.join(before, [key, "_slice"], "left")
+    return placed.withColumns(
+        {n: with_offset(f"_{n}", F.col(f"_own_{n}")) for n in sums}
+        | {name: with_offset("_rows", F.col("_own")).cast("int")}
+    ).drop("_slice", "_own", *total, *(f"_own_{n}" for n in sums))
 
-def _number_large(df: DataFrame, key: str, order: list[str], name: str) -> DataFrame:
-    """Sort by range over all tasks, then shift each slice by the rows of the slices before it.
 
-    The checkpoint fixes the slices, so a lost executor cannot change the numbers. The offsets
-    hold one row per key and slice and are summed by a window over those few rows.
-    """
-    slice_bits = 33  # monotonically_increasing_id keeps the partition in the bits above these
-    sliced = (
-        df.repartitionByRange(key, *order)
-        .sortWithinPartitions(key, *order)
-        .withColumn("_slot", F.monotonically_increasing_id())
-        .withColumn("_slice", F.shiftright("_slot", slice_bits))
-        .checkpoint()
-    )
-    before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy(key, "_slice")
-        .agg(F.min("_slot").alias("_start"), F.count("*").alias("_rows"))
-        .withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-        .drop("_rows")
-    )
-    return (
-        sliced.join(offsets, [key, "_slice"])
-        .withColumn(name, (F.col("_slot") - F.col("_start") + F.col("_before") + 1).cast("int"))
-        .drop("_slot", "_slice", "_start", "_before")
-    )
+def number_within(
+    df: DataFrame, key: str, order: list[str], name: str = "position", slice_rows: int = SLICE_ROWS
+) -> DataFrame:
+    """Add `name`: 1, 2, … within `key` by `order`."""
+    return running_within(df, key, order, {}, name, slice_rows)

@@ -333,7 +333,7 @@ def failed_list(spark, sf_dir):
 @query
 def dedup_batch(spark, sf_dir):
     columns = ("source_file", "invoice_number", "stage", "reason")
-    judged = stage(tables.judged_documents(spark, sf_dir).select(*columns), "judged")
+    judged = tables.judged_documents(spark, sf_dir).select(*columns)
     return (
         mark_first(judged)
         .filter(F.col("reason").isNull())
@@ -361,8 +361,9 @@ def dedup_stored(spark, sf_dir):
 def orphan_audit(spark, sf_dir):
     """Items of every order against the stored invoices: those of failed documents are strays."""
     key = F.col("order_key").alias("invoice_id")
-    items = tables.numbered_lines(spark, sf_dir).select(key, "order_key", "position")
-    invoices = tables.stored_documents(spark, sf_dir, "order_key").select(key)
+    judged = stage(tables.lines(spark, sf_dir), "judged-lines")
+    items = judged.select(key, "order_key", "position")
+    invoices = tables.stored_documents(spark, sf_dir, "order_key", judged=judged).select(key)
     return audit.orphans(items, invoices).select(
         tables.source_file().alias("source_file"), "position"
     )
@@ -410,8 +411,7 @@ def triage_counts(spark, sf_dir):
 def text_layer(spark, sf_dir):
     valid = conversations.triaged(spark, sf_dir).filter("is_valid").select("source_file")
     readable = conversations.pages(spark, sf_dir).join(valid, "source_file", "left_semi")
-    parts = intake.text_layer(readable)
-    return parts.withColumn("n_pages", F.col("n_pages").cast("bigint"))
+    return intake.text_layer(readable)
 
 
 # Written values.

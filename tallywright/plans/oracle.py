@@ -371,11 +371,13 @@ ORACLE: dict[str, str] = {
     ),
     "text_layer": _q(
         TRIAGE,
-        """SELECT source_file, CAST((n - 1) // 1000 AS INTEGER) AS part, count(*) AS n_pages,
-             string_agg(page, '' ORDER BY n) AS text, bool_or(trim(page) <> '') AS part_has_text
-           FROM (SELECT source_file, page, row_number() OVER (PARTITION BY c ORDER BY turn, page) AS n
+        """SELECT source_file, CAST(before // 1048576 AS INTEGER) AS segment, min(before) AS start, count(*) AS n_pages,
+             string_agg(page, '' ORDER BY n) AS text, bool_or(trim(page) <> '') AS segment_has_text
+           FROM (SELECT source_file, page, row_number() OVER pages AS n,
+                   CAST(coalesce(sum(length(page)) OVER (pages ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
                  FROM (SELECT source_file, c, turn, CASE WHEN c % 7 = 0 THEN '   ' ELSE text END AS page
-                       FROM files JOIN conversations ON conv_id = c WHERE reason = 'OK'))
+                       FROM files JOIN conversations ON conv_id = c WHERE reason = 'OK')
+                 WINDOW pages AS (PARTITION BY c ORDER BY turn, page))
            GROUP BY 1, 2""",
     ),
     "german_amount": f"SELECT o_orderkey AS order_key, {GERMAN} AS amount_text FROM orders",

@@ -75,13 +75,16 @@ def trade_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line rows with their position inside the order and the part's list price."""
-    bare = trade_lines(spark, sf_dir)
+    """Line rows with their position inside the order."""
+    return number_within(trade_lines(spark, sf_dir), "order_key", LINE_ORDER)
+
+
+def priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbered lines with the part's list price."""
     parts = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), "p_retailprice"
     )
-    priced = bare.join(parts, "l_partkey", "left")
-    return number_within(priced, "order_key", LINE_ORDER, counted=bare)
+    return numbered_lines(spark, sf_dir).join(parts, "l_partkey", "left")
 
 
 def raw_items(numbered: DataFrame) -> DataFrame:
@@ -102,7 +105,7 @@ def raw_items(numbered: DataFrame) -> DataFrame:
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One judged row per item."""
-    return judged_lines(raw_items(numbered_lines(spark, sf_dir)))
+    return judged_lines(raw_items(priced_lines(spark, sf_dir)))
 
 
 def order_facts(first_supplier: Column) -> dict[str, Column]:
@@ -270,33 +273,30 @@ def order_files(orders: DataFrame) -> DataFrame:
 
 
 def decided_documents(
-    spark: SparkSession, sf_dir: str, *columns: str, customers: bool = False
+    spark: SparkSession, sf_dir: str, *columns: str, customers: bool = False, judged: DataFrame | None = None
 ) -> DataFrame:
     """After the competition for invoice numbers: final stage and reason, plus `columns`.
 
     The judged documents are staged with these columns alone: the competition reads two of them,
-    and joins its result back to the rest, without numbering and judging every line twice.
+    and looks up contested numbers only, without numbering and judging every line twice.
     """
     needed = dict.fromkeys(("source_file", "invoice_number", "stage", "reason", *columns))
-    judged = judged_documents(spark, sf_dir, customers).select(*needed)
-    return reject_taken_numbers(mark_first(stage(judged, "judged")))
+    documents = judged_documents(spark, sf_dir, customers, judged).select(*needed)
+    return reject_taken_numbers(mark_first(documents))
 
 
 def stored_documents(
-    spark: SparkSession, sf_dir: str, *columns: str, customers: bool = False
+    spark: SparkSession, sf_dir: str, *columns: str, customers: bool = False, judged: DataFrame | None = None
 ) -> DataFrame:
-    decided = decided_documents(spark, sf_dir, *columns, customers=customers)
+    decided = decided_documents(spark, sf_dir, *columns, customers=customers, judged=judged)
     return decided.filter(F.col("reason").isNull())
 
 
 def stored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items of the stored documents: `source_file, invoice_number` and the item columns."""
-    items = (
-        lines(spark, sf_dir)
-        .filter(~F.col("is_skipped"))
-        .select("order_key", *STORED)
-    )
-    parents = stored_documents(spark, sf_dir, "order_key")
+    judged = stage(lines(spark, sf_dir), "judged-lines")
+    items = judged.filter(~F.col("is_skipped")).select("order_key", *STORED)
+    parents = stored_documents(spark, sf_dir, "order_key", judged=judged)
     return items.join(
         parents.select("order_key", "source_file", "invoice_number"), "order_key"
     ).drop("order_key")
