@@ -9,8 +9,9 @@ _SPREAD = np.uint64(0xD6E8FEB86659FD93)
 # ASCII letters and digits and every byte of a longer character are part of a word.
 _IN_WORD = np.array([chr(x).isalnum() or x >= 0x80 for x in range(256)])
 _LOWER = np.array([x + 32 if 65 <= x <= 90 else x for x in range(256)], np.uint8)
-# Position powers are kept for so many bytes at a time.
+# Position powers are kept for so many bytes at a time; texts are hashed together up to so many.
 SPAN = 1 << 22
+BATCH = 1 << 19
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -54,7 +55,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return hashes, np.searchsorted(text_ends, starts, side="right"), starts, ends
 
 
-def batched(texts: list[bytes], limit: int = SPAN):
+def batched(texts: list[bytes], limit: int = BATCH):
     """Ranges of `texts` of at most `limit` bytes together; a longer text stands alone."""
     start = held = 0
     for at, text in enumerate(texts):
