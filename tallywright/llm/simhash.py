@@ -1,22 +1,15 @@
 """SimHash near-duplicates by tiled exact comparison.
 
-Distinct fingerprints are compared in tiles with numpy exclusive-or and bit counts; inside a pair of tiles
-they are sorted by bit count, and those whose counts differ beyond the radius are skipped. Two kinds of
-tiles are made, and both lose no link:
+Distinct fingerprints are compared in tiles with numpy exclusive-or and bit counts. Within `radius`
+differing bits two fingerprints agree on at least one of `radius + 1` equal stretches of their bits, so
+tiles hold fingerprints with one prefix of one stretch, and no link is lost. The prefix gets longer with
+the number of fingerprints, so a tile keeps its size while the data grow.
 
-* By prefix, for a small radius: within `radius` differing bits two fingerprints agree on at least one of
-  `radius + 1` equal stretches of their bits, so tiles hold fingerprints with one prefix of one stretch.
-  The prefix gets longer with the number of fingerprints, so a tile keeps its size while the data grow.
-* By length, for a large radius, where no prefix is shared: texts whose numbers of different shingles differ
-  by more than `ratio` are not that similar, so tiles hold texts of one length and the next.
-
-Near copies for a corpus are decided on the shingles: the fingerprints only say what may be alike, with a
-radius that pairs of similarity 0.8 hardly ever exceed, and a link is one whose sets of shingles have a
-Jaccard similarity of `NEAR_RATIO` at least. Sets of shingles are made for texts with a possible partner
-only, and are compared in tiles of each component of possible partners. Texts with one set of shingles are one.
-
-What is more than one tile under one key is dealt to several by a hash, and each pair of those tiles is
-compared in a task of its own. A pair returns the links of a spanning forest, not all pairs.
+What is more than one tile under one key is dealt to tiles by the number of its bits, those of one number
+by a hash as well. Two tiles whose bit counts differ by more than the radius hold no link and never meet:
+such pairs are skipped before anything is sent. Each other pair is compared in a task of its own, where
+blocks are skipped by bit count in the same way. A pair returns the links of a spanning forest, not all
+pairs.
 
 Nulls and odd rows: a null text is empty, texts without words share the fingerprint zero; rows with null
 doc_id are linked like others and have no say in the component's id unless the whole component is null;
@@ -24,15 +17,14 @@ repeated rows are linked to each other; an empty table gives an empty result. Co
 `doc_id, text` are not read.
 """
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .components import components
-from .tasks import ROW, drop_rows, row_number_of, ship, staged, whole_text, with_rows
-from .words import mixed
+from .tasks import drop_rows, named, names_of, row_number, ship, staged, whole_text
 
 SEED = 42
 WORDS = 3
@@ -41,14 +33,6 @@ WORD_BITS = 64
 # Fingerprints in one tile.
 TILE = 2048
 
-# Near copies for a corpus: five words, similarity 0.8. Texts of similarity 0.8 differ in 39 of 256 bits,
-# give or take 6, and those of four and five shingles in 48, give or take 6; unlike texts in 128, give or take 8.
-NEAR_WORDS, NEAR_BITS, NEAR_RADIUS, NEAR_TILE, NEAR_RATIO = 5, 256, 72, 32_768, 0.8
-# What their first 64 bits may differ in: 10 at similarity 0.8, give or take 3; 12 for the shortest.
-FIRST_WORD_RADIUS = 24
-# Texts and shingles of one tile when sets of shingles are compared.
-SET_TILE, SET_SHINGLES = 4096, 4 << 20
-
 
 def shingle_hashes(text: str, words: int) -> np.ndarray:
     """XXH64 of each word shingle, in order; a text of fewer words is one shingle."""
@@ -67,61 +51,38 @@ def shingle_hashes(text: str, words: int) -> np.ndarray:
     return np.array(digests, "<u8")
 
 
-def fingerprint_of(hashes: np.ndarray, bits: int = WORD_BITS) -> list[int]:
-    """A bit is set if it is set in over half of the hashes. The first word takes the XXH64 itself, further
-    ones what a mixing function makes of it."""
-    if not len(hashes):
-        return [0] * (bits // WORD_BITS)
-    out = []
-    for number in range(bits // WORD_BITS):
-        by_byte = (mixed(hashes + np.uint64(number)) if number else hashes).view(np.uint8).reshape(-1, 8)
-        ones = [np.bincount(by_byte[:, place], minlength=256) @ _BYTE_BITS for place in range(8)]
-        out.append(int(np.packbits(np.concatenate(ones) * 2 > len(hashes), bitorder="little").view("<u8")[0]))
-    return out
-
-
-def fingerprint(text: str, words: int = WORDS, bits: int = WORD_BITS) -> tuple[list[int], int]:
-    """The fingerprint as 64-bit words, and the number of shingles; repeats count in both."""
+def fingerprint(text: str, words: int = WORDS) -> int:
+    """A bit is set if it is set in over half of the hashes; repeated shingles count each time."""
     hashes = shingle_hashes(text, words)
-    return fingerprint_of(hashes, bits), len(hashes)
-
-
-def set_fingerprint(text: str, words: int, bits: int) -> tuple[list[int], int]:
-    """The fingerprint of the set of shingles, with a hash of the whole set as its last word, and their number."""
-    from xxhash import xxh64_intdigest
-
-    hashes = np.unique(shingle_hashes(text, words))
-    return [*fingerprint_of(hashes, bits), xxh64_intdigest(hashes.tobytes(), SEED)], len(hashes)
+    if not len(hashes):
+        return 0
+    by_byte = hashes.view(np.uint8).reshape(-1, 8)
+    ones = [np.bincount(by_byte[:, place], minlength=256) @ _BYTE_BITS for place in range(8)]
+    return int(np.packbits(np.concatenate(ones) * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS, bits: int = WORD_BITS, sets: bool = False) -> DataFrame:
-    """`row, doc_id, fp, size`, written out; `fp` is an array of signed 64-bit integers."""
+def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """`row, doc_id, fp` and the rows' names, if any, written out; `fp` is a signed 64-bit integer."""
     ship(docs.sparkSession)
-    made = set_fingerprint if sets else fingerprint
+    names = names_of(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [made(text.as_py(), words, bits) for text in batch["text"]]
-            signed = [np.array(fp, np.uint64).view(np.int64).tolist() for fp, _ in found]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch["row"],
-                    batch["doc_id"],
-                    pa.array(signed, pa.list_(pa.int64())),
-                    pa.array([size for _, size in found], pa.int64()),
-                ],
-                names=["row", "doc_id", "fp", "size"],
-            )
+            found = np.array([fingerprint(text.as_py(), words) for text in batch["text"]], np.uint64)
+            columns = [batch["row"], batch["doc_id"], pa.array(found.view(np.int64)), *(batch[c] for c in names)]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "fp", *names])
 
     rows = docs.select(
-        row_number_of(docs),
+        row_number(),
         F.col("doc_id").cast("long").alias("doc_id"),
         whole_text().alias("text"),
+        *names,
     )
-    return staged(rows.mapInArrow(run, "row long, doc_id long, fp array<long>, size long"), "fingerprints")
+    schema = "row long, doc_id long, fp long" + "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in names)
+    return staged(rows.mapInArrow(run, schema), "fingerprints")
 
 
 def stretches(radius: int) -> list[tuple[int, int]]:
@@ -130,44 +91,27 @@ def stretches(radius: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
-def compare_tiles(
-    fps: np.ndarray,
-    side: np.ndarray | None,
-    radius: int,
-    first_radius: int | None = None,
-    block: int = 64,
-    alike: Callable[[int, np.ndarray], np.ndarray] | None = None,
-) -> list[tuple[int, int]]:
-    """Links, as places, of a spanning forest over fingerprints (n x words) within `radius` bits.
+def compare_tiles(fps: np.ndarray, side: np.ndarray | None, radius: int, block: int = 64) -> list[tuple[int, int]]:
+    """Links, as places, of a spanning forest over fingerprints within `radius` bits.
 
-    With `side` only pairs of different sides are compared. With `alike` a link also needs its consent, asked
-    for a place and others that are not yet connected with it.
+    With `side` only pairs of different sides are compared.
     """
     fps = fps.view(np.uint64)
-    counts = np.bitwise_count(fps).sum(1, dtype=np.int64)
-    order = np.lexsort((fps[:, 0], counts))
+    counts = np.bitwise_count(fps).astype(np.int64)
+    order = np.lexsort((fps, counts))
     fps, counts = fps[order], counts[order]
     side = None if side is None else side[order]
     tops = np.searchsorted(counts, counts + radius, side="right")
-    first = fps[:, 0].copy()
     label, links = np.arange(len(fps)), []
-    limit = radius if fps.shape[1] == 1 else first_radius or radius
     for low in range(0, len(fps), block):
         high = min(low + block, len(fps))
         top = int(tops[high - 1])
-        near = np.bitwise_count(first[low:high, None] ^ first[None, low:top]) <= limit
+        near = np.bitwise_count(fps[low:high, None] ^ fps[None, low:top]) <= radius
         for at in np.flatnonzero(near.any(1)).tolist():
             i = low + at
             found = i + 1 + np.flatnonzero(near[at, at + 1 :])
             if side is not None:
                 found = found[side[found] != side[i]]
-            if len(found) and fps.shape[1] > 1:
-                found = found[np.bitwise_count(fps[found] ^ fps[i]).sum(1, dtype=np.int64) <= radius]
-            if not len(found):
-                continue
-            if alike is not None:
-                found = found[label[found] != label[i]]
-                found = found[alike(int(order[i]), order[found])] if len(found) else found
             labels = label[found]
             for other in np.unique(labels[labels != label[i]]).tolist():
                 links.append((int(order[i]), int(order[found[np.argmax(labels == other)]])))
@@ -176,153 +120,77 @@ def compare_tiles(
 
 
 def _by_prefix(distinct: DataFrame, n: int, radius: int, tile: int) -> DataFrame:
-    """`key, side` for each fingerprint of one word and each of its stretches; sides do not matter."""
+    """`id, fp, key` for each fingerprint and each of its stretches."""
     cuts = stretches(radius)
     # Prefix bits for about half a tile under each prefix.
     bits = max(0, min(*(width for _, width in cuts), int(np.ceil(np.log2(max(1, 2 * n / tile))))))
     prefixes = [
-        F.shiftrightunsigned(F.col("fp")[0], start).bitwiseAND((1 << bits) - 1) * len(cuts) + number
+        F.shiftrightunsigned("fp", start).bitwiseAND((1 << bits) - 1) * len(cuts) + number
         for number, (start, _) in enumerate(cuts)
     ]
-    return distinct.select("id", "fp", F.explode(F.array(*prefixes)).alias("key"), F.lit(0).alias("side"))
-
-
-def _by_length(distinct: DataFrame, ratio: float) -> DataFrame:
-    """Each fingerprint under its length (side 0) and under the length before (side 1)."""
-    length = F.floor(-F.log(F.greatest("size", F.lit(1)).cast("double")) / np.log(ratio)).cast("long")
-    places = F.array(F.struct(length.alias("key"), F.lit(0).alias("side")), F.struct((length - 1).alias("key"), F.lit(1).alias("side")))
-    return distinct.select("id", "fp", F.explode(places).alias("p")).select("id", "fp", "p.key", "p.side")
-
-
-def links_within(
-    distinct: DataFrame, radius: int = RADIUS, tile: int = TILE, ratio: float | None = None, first_radius: int | None = None
-) -> DataFrame:
-    """`a, b`: links between ids that connect all of `distinct` (id, fp, size) within `radius` bits."""
-    ship(distinct.sparkSession)
-    entries = _by_prefix(distinct, distinct.count(), radius, tile) if ratio is None else _by_length(distinct, ratio)
-    members = entries.groupBy("key").agg(F.count("*").alias("members"))
-    large = members.filter(F.col("members") > tile)
-    large = staged(large.select("key", F.ceil(F.col("members") / tile).cast("int").alias("tiles")), "large-keys")
-    entries = entries.join(large, "key", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
-    own = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
-    entries = entries.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    i, j = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-    entries = entries.select("key", i, j, "own", "side", "id", "fp")
-    by_length = ratio is not None
-
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        i, j = key[1].as_py(), key[2].as_py()
-        ids = table["id"].to_numpy()
-        fps = table["fp"].combine_chunks()
-        fps = fps.values.to_numpy(zero_copy_only=False).reshape(len(ids), -1)
-        own, upper = table["own"].to_numpy(), table["side"].to_numpy()
-        # Pairs inside one tile are the business of the pair (tile, tile). Texts of the greater length
-        # are compared with each other under their own key.
-        parts = []
-        if i == j:
-            parts.append((np.flatnonzero(upper == 0), None))
-            if by_length:
-                parts.append((np.arange(len(ids)), upper))
-        else:
-            for low, high in ((0, 0), (0, 1), (1, 0)) if by_length else ((0, 0),):
-                chosen = ((own == i) & (upper == low)) | ((own == j) & (upper == high))
-                parts.append((np.flatnonzero(chosen), own))
-        a, b = [], []
-        for places, sides in parts:
-            if len(places) > 1:
-                found = compare_tiles(fps[places], None if sides is None else sides[places], radius, first_radius)
-                a += [ids[places[x]] for x, _ in found]
-                b += [ids[places[y]] for _, y in found]
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return distinct.select("id", "fp", F.explode(F.array(*prefixes)).alias("key"))
 
-    return entries.groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
+def _tile(ones: Column, part: Column) -> Column:
+    """The name of a tile: number of bits, then part."""
+    return F.shiftleft((ones + 1).cast("long"), 32) + part
 
-class _Sets:
-    """Sets of shingles of one tile, as numbers; says which of them are alike."""
 
-    def __init__(self, hashes: list[np.ndarray], ratio: float):
-        self.sizes = np.array([len(x) for x in hashes], np.int64)
-        self.ends = np.cumsum(self.sizes)
-        different, self.numbers = np.unique(np.concatenate(hashes), return_inverse=True)
-        self.mine = np.zeros(len(different) + 1, bool)
-        self.ratio = ratio
-
-    def __call__(self, one: int, others: np.ndarray) -> np.ndarray:
-        own = self.numbers[self.ends[one] - self.sizes[one] : self.ends[one]]
-        sizes = self.sizes[others]
-        possible = np.minimum(sizes, len(own)) >= self.ratio * np.maximum(sizes, len(own)) - 1e-9
-        out = np.zeros(len(others), bool)
-        self.mine[own] = True
-        for at in np.flatnonzero(possible & (sizes > 0)).tolist():
-            end = self.ends[others[at]]
-            common = int(np.count_nonzero(self.mine[self.numbers[end - sizes[at] : end]]))
-            out[at] = common >= self.ratio * (sizes[at] + len(own) - common) - 1e-9
-        self.mine[own] = False
-        return out
+def dealt(entries: DataFrame, radius: int, tile: int) -> DataFrame:
+    """`key, low, high, own, id, fp`: each fingerprint in every pair of tiles that it takes part in.
 
+    Keys of at most one tile are one pair, of that tile with itself. For others a tile meets only those
+    whose bit counts are within `radius` of its own.
+    """
+    entries = entries.withColumn("ones", F.bit_count("fp").cast("int"))
+    counts = entries.groupBy("key", "ones").agg(F.count("*").alias("n"))
+    parts = F.struct("ones", F.ceil(F.col("n") / tile).cast("int").alias("parts"))
+    # At most 65 bit counts for each large key.
+    large = counts.groupBy("key").agg(
+        F.sum("n").alias("members"), F.map_from_entries(F.collect_list(parts)).alias("parts")
+    )
+    large = staged(large.filter(F.col("members") > tile).select("key", "parts"), "large-keys")
+    known = entries.join(large, "key", "left")
+
+    def tiles_of(ones: Column) -> Column:
+        n = F.coalesce(F.try_element_at("parts", ones), F.lit(0))
+        numbers = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(numbers, lambda part: _tile(ones, part))
+
+    part = F.pmod(F.xxhash64("id"), F.try_element_at("parts", F.col("ones"))).cast("int")
+    own = F.when(F.col("parts").isNull(), F.lit(0).cast("long")).otherwise(_tile(F.col("ones"), part))
+    near = F.sequence(F.col("ones") - radius, F.col("ones") + radius)
+    others = F.when(F.col("parts").isNull(), F.array(F.lit(0).cast("long"))).otherwise(
+        F.flatten(F.transform(near, tiles_of))
+    )
+    met = known.withColumn("own", own).withColumn("other", F.explode(others))
+    low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
+    return met.select("key", low, high, "own", "id", "fp")
 
-def links_of_sets(docs: DataFrame, possible: DataFrame, words: int, radius: int, ratio: float, first_radius: int | None) -> DataFrame:
-    """`a, b`: those links, of a spanning forest, whose sets of shingles are `ratio` alike.
 
-    `possible` has `id, fp, size, root`: texts by the row that stands for them, and the component of possible
-    partners; `docs` has the rows' texts under `ROW`.
-    """
-    ship(docs.sparkSession)
+def links_within(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """`a, b`: links between ids that connect all of `distinct` (id, fp) within `radius` bits."""
+    ship(distinct.sparkSession)
+    entries = dealt(_by_prefix(distinct, distinct.count(), radius, tile), radius, tile)
 
-    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.unique(shingle_hashes(text.as_py(), words)).tobytes() for text in batch["text"]]
-            names = ["id", "fp", "root", "tiles"]
-            yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), pa.array(sets, pa.binary())], names=[*names, "hashes"])
-
-    tiles = F.greatest(F.ceil(F.count("*") / SET_TILE), F.ceil(F.sum("size") / SET_SHINGLES)).cast("int").alias("tiles")
-    possible = possible.join(possible.groupBy("root").agg(tiles), "root")
-    texts = docs.select(F.col(ROW).alias("id"), whole_text().alias("text"))
-    entries = texts.join(possible.select("id", "fp", "root", "tiles"), "id").select("id", "fp", "root", "tiles", "text")
-    entries = entries.mapInArrow(shingles, "id long, fp array<long>, root long, tiles int, hashes binary")
-    own = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
-    entries = entries.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    i, j = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-    entries = entries.select("root", i, j, "own", "id", "fp", "hashes")
-
-    def run(key: tuple, table: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         ids, own = table["id"].to_numpy(), table["own"].to_numpy()
-        # The last word stands for the whole set and is no part of the fingerprint.
-        fps = table["fp"].combine_chunks().values.to_numpy(zero_copy_only=False).reshape(len(ids), -1)[:, :-1]
-        sets = _Sets([np.frombuffer(x.as_py(), "<u8") for x in table["hashes"]], ratio)
+        # Pairs inside one tile are the business of that tile with itself.
         side = None if key[1].as_py() == key[2].as_py() else own
-        found = compare_tiles(np.ascontiguousarray(fps), side, radius, first_radius, alike=sets)
-        return pa.table({"a": pa.array([ids[x] for x, _ in found], pa.int64()), "b": pa.array([ids[y] for _, y in found], pa.int64())})
-
-    return entries.groupBy("root", "i", "j").applyInArrow(run, "a long, b long").distinct()
+        found = compare_tiles(table["fp"].to_numpy(), side, radius)
+        a, b = ([ids[link[end]] for link in found] for end in (0, 1))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
+    return entries.groupBy("key", "low", "high").applyInArrow(run, "a long, b long").distinct()
 
-def near_groups(
-    docs: DataFrame,
-    words: int = WORDS,
-    bits: int = WORD_BITS,
-    radius: int = RADIUS,
-    tile: int = TILE,
-    ratio: float | None = None,
-    first_radius: int | None = None,
-) -> DataFrame:
-    """`row, doc_id, fp, component_id, stays`: one row of each component stays, the one with its id.
 
-    With `ratio` the sets of shingles decide, and `docs` has numbered rows (`with_rows`).
-    """
-    rows = fingerprints(docs, words, bits, ratio is not None)
+def near_groups(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """`row, doc_id, fp, component_id, stays`: one row of each component stays, the one with its id."""
+    rows = fingerprints(docs, words)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
-    distinct = rows.groupBy("fp").agg(first, F.count("*").alias("n_rows"), F.min("size").alias("size"))
+    distinct = rows.groupBy("fp").agg(first, F.count("*").alias("n_rows"))
     distinct = staged(distinct.withColumn("id", F.col("first.row")), "distinct")
-    if ratio is None:
-        links = links_within(distinct.select("id", "fp", "size"), radius, tile)
-    else:
-        only = distinct.select("id", F.slice("fp", 1, bits // WORD_BITS).alias("fp"), "size")
-        near = staged(components(links_within(only, radius, tile, ratio, first_radius), "a", "b"), "possible")
-        near = near.unionByName(near.select(F.col("root").alias("node"), "root").distinct())
-        possible = distinct.join(near, distinct["id"] == F.col("node")).select("id", "fp", "size", "root")
-        links = links_of_sets(docs, staged(possible, "possible"), words, radius, ratio, first_radius)
+    links = links_within(distinct.select("id", "fp"), radius, tile)
     roots = staged(components(links, "a", "b"), "roots")
     # Only fingerprints with a partner, or with several rows, need a lookup.
     heads = roots.select(F.col("root").alias("node"), "root").distinct()
@@ -339,21 +207,14 @@ def near_groups(
         "fp",
         F.when(F.col("head").isNull(), F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("component_id"),
         F.coalesce(F.col("head.row") == F.col("row"), F.lit(True)).alias("stays"),
+        *names_of(rows),
     )
 
 
-def near_copies(docs: DataFrame) -> DataFrame:
-    """Groups of texts whose five-word shingles have a similarity of 0.8 or more."""
-    return near_groups(docs, NEAR_WORDS, NEAR_BITS, NEAR_RADIUS, NEAR_TILE, NEAR_RATIO, FIRST_WORD_RADIUS)
-
-
-def without_near_copies(docs: DataFrame) -> DataFrame:
-    """`docs`, all columns, with one row of each group of near copies.
-
-    `docs` is a written table: its rows are numbered twice, as they are read.
-    """
-    groups = near_copies(with_rows(docs))
-    return drop_rows(docs, groups.filter("NOT stays"))
+def without_near_copies(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """`docs`, all columns, with one row of each component of fingerprints within `radius` bits."""
+    docs = named(docs)
+    return drop_rows(docs, near_groups(docs, words, radius).filter("NOT stays"))
 
 
 def hex16(fp: Column) -> Column:
@@ -363,4 +224,4 @@ def hex16(fp: Column) -> Column:
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     groups = near_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return groups.select("doc_id", hex16(F.col("fp")[0]).alias("fingerprint"), "component_id")
+    return groups.select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
