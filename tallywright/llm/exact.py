@@ -22,36 +22,42 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .tasks import drop_rows, row_number_of, ship, staged, whole_text, with_rows
+from .tasks import FILE, PLACE, drop_rows, named, names_of, row_number, ship, staged, whole_text
 
 BLOCK_BYTES = 4096
-# Bytes of distinct blocks after which a task starts a new dictionary.
-BATCH_BYTES = 32 << 20
+# Bytes of distinct blocks after which a task starts a new dictionary, and after which it sends rows on.
+BATCH_BYTES, SENT_BYTES = 32 << 20, 2 << 20
 
 NAMED = "kind string, level int, name long, block binary, a long, b long, doc_id long, sha256 string, n_bytes long"
+NAMES = f", {FILE} string, {PLACE} long"
 
 
 def _named_locally(block_bytes: int, batch_bytes: int):
     kinds = [pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-    kinds += [pa.string(), pa.int64()]
-    names = [field.split()[0] for field in NAMED.split(", ")]
+    kinds += [pa.string(), pa.int64(), pa.string(), pa.int64()]
+    names = [field.split()[0] for field in (NAMED + NAMES).split(", ")]
+
+    def sent(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free = TaskContext.get().partitionId() << 33
         known: dict = {}
-        held = 0
+        held = fresh = 0
         for batch in batches:
             rows: list[tuple] = []
-            for number, key, text in zip(batch["row"], batch["doc_id"], batch["text"]):
+            columns = (*("row", "doc_id", "text"), *(c for c in (FILE, PLACE) if c in batch.schema.names))
+            for number, key, text, *name in zip(*(batch[c] for c in columns)):
                 data = text.as_py().encode().lower()  # bytes lower A-Z only
+                named_row = [x.as_py() for x in name] or [None, None]
                 level, row = 0, []
                 for at in range(0, len(data) or 1, block_bytes):
                     block = data[at : at + block_bytes]
                     if block not in known:
                         known[block] = free
-                        rows.append(("block", 0, free, block, None, None, None, None, None))
+                        rows.append(("block", 0, free, block, *[None] * 7))
                         free += 1
-                        held += len(block)
+                        fresh += len(block)
                     row.append(known[block])
                 while len(row) > 1:
                     level += 1
@@ -61,15 +67,18 @@ def _named_locally(block_bytes: int, batch_bytes: int):
                     for pair in zip(row[::2], row[1::2]):
                         if pair not in known:
                             known[pair] = free
-                            rows.append(("pair", level, free, None, *pair, None, None, None))
+                            rows.append(("pair", level, free, None, *pair, *[None] * 5))
                             free += 1
                         paired.append(known[pair])
                     row = paired
                 digest = sha256(data).hexdigest()
-                rows.append(("doc", level, row[0], None, number.as_py(), None, key.as_py(), digest, len(data)))
-            arrays = [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)]
+                rows.append(("doc", level, row[0], None, number.as_py(), None, key.as_py(), digest, len(data), *named_row))
+                if fresh > SENT_BYTES:
+                    yield sent(rows)
+                    rows, held, fresh = [], held + fresh, 0
             if rows:
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
+                yield sent(rows)
+            held, fresh = held + fresh, 0
             if held > batch_bytes:
                 known, held = {}, 0
 
@@ -89,11 +98,12 @@ def name_documents(
     """`row, doc_id, sha256, n_bytes, identity`: equal texts, and only those, share `identity`."""
     ship(docs.sparkSession)
     texts = docs.select(
-        row_number_of(docs),
+        row_number(),
         F.col("doc_id").cast("long").alias("doc_id"),
         whole_text().alias("text"),
+        *(carried := names_of(docs)),
     )
-    local = texts.mapInArrow(_named_locally(block_bytes, batch_bytes), NAMED)
+    local = texts.mapInArrow(_named_locally(block_bytes, batch_bytes), NAMED + NAMES)
     local = staged(local, "block-names", "kind")
     top = local.filter("kind = 'doc'").agg(F.max("level")).first()[0] or 0
 
@@ -108,10 +118,10 @@ def name_documents(
             pairs = pairs.join(to, side, "left").withColumn(side, F.coalesce("_to", side)).drop("_to")
         renames = staged(_renamed(pairs, [], ["a", "b"]), f"names-{level}")
         everything = everything.unionByName(renames)
-    found = local.filter("kind = 'doc'").select("name", F.col("a").alias("row"), "doc_id", "sha256", "n_bytes")
-    return found.join(everything, "name", "left").select(
-        "row", "doc_id", "sha256", "n_bytes", F.coalesce("canonical", "name").alias("identity")
-    )
+    kept = ["doc_id", "sha256", "n_bytes", *carried]
+    found = local.filter("kind = 'doc'").select("name", F.col("a").alias("row"), *kept)
+    identity = F.coalesce("canonical", "name").alias("identity")
+    return found.join(everything, "name", "left").select("row", *kept, identity)
 
 
 def exact_groups(docs: DataFrame, **how) -> DataFrame:
@@ -119,29 +129,27 @@ def exact_groups(docs: DataFrame, **how) -> DataFrame:
 
     The row with the largest doc_id of each group stays.
     """
-    named = staged(name_documents(docs, **how), "identities")
+    rows = staged(name_documents(docs, **how), "identities")
     last = F.max(F.struct("doc_id", "row")).alias("last")
-    groups = named.groupBy("identity").agg(F.count("*").alias("group_size"), last)
+    groups = rows.groupBy("identity").agg(F.count("*").alias("group_size"), last)
     # Groups of one need no lookup. Both sides are written out, so a large group can be split.
     groups = staged(groups.filter("group_size > 1"), "groups")
     size = F.coalesce("group_size", F.lit(1).cast("long"))
-    return named.join(groups, "identity", "left").select(
+    return rows.join(groups, "identity", "left").select(
         "row",
         "doc_id",
         F.when(F.col("last").isNull(), F.col("doc_id")).otherwise(F.col("last.doc_id")).alias("keep_id"),
         size.alias("group_size"),
         F.coalesce(F.col("last.row") == F.col("row"), F.lit(True)).alias("kept"),
         F.col("sha256").alias("text_sha256"),
+        *names_of(rows),
     )
 
 
 def without_copies(docs: DataFrame, **how) -> DataFrame:
-    """`docs`, all columns, with one row of each group of equal texts.
-
-    `docs` is a written table: its rows are numbered twice, as they are read.
-    """
-    groups = exact_groups(with_rows(docs), **how)
-    return drop_rows(docs, groups.filter("NOT kept"))
+    """`docs`, all columns, with one row of each group of equal texts."""
+    docs = named(docs)
+    return drop_rows(docs, exact_groups(docs, **how).filter("NOT kept"))
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..shared import scratch_folder
 
-# Column that numbers the rows of a table as it is read.
-ROW = "_tallywright_row"
+# What names a row of a table however it is read: the file it is in, and its place there.
+FILE, PLACE = "_tallywright_file", "_tallywright_place"
 
 PACKAGE = Path(__file__).resolve().parent.parent
 _shipped: set[str] = set()
@@ -43,19 +43,41 @@ def staged(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """`docs` without the rows whose number, given as the table is read, is `row` in `dropped`."""
-    numbers = staged(dropped.select(F.col("row").alias(ROW)), "dropped")
-    return with_rows(docs).join(numbers, ROW, "left_anti").drop(ROW)
+def _reads_files(df: DataFrame) -> bool:
+    """Whether each row of `df` is one row of a Parquet file, so that file and place name it."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    return plan.nodeName() == "LogicalRelation" and "parquet" in plan.toString().lower()
+
+
+def named(docs: DataFrame) -> DataFrame:
+    """`docs` with what names each row, the same on every read, however the files are split into tasks.
+
+    Rows that do not come straight from Parquet files are written first, with numbers for names.
+    """
+    if FILE in docs.columns:
+        return docs
+    if _reads_files(docs):
+        row = docs.metadataColumn("_metadata")
+        return docs.withColumns({FILE: row["file_path"], PLACE: row["row_index"]})
+    return staged(docs.withColumns({FILE: F.lit(""), PLACE: F.monotonically_increasing_id()}), "named-rows")
+
 
+def names_of(docs: DataFrame) -> list[str]:
+    """The columns that name rows, where `docs` has them; operators carry them along."""
+    return [FILE, PLACE] if FILE in docs.columns else []
 
-def with_rows(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(ROW, F.monotonically_increasing_id())
 
+def row_number() -> Column:
+    """A number `row` for each row, for tables that are written before their first use."""
+    return F.monotonically_increasing_id().alias("row")
 
-def row_number_of(docs: DataFrame) -> Column:
-    """The numbers that `with_rows` gave, or new ones, as `row`."""
-    return (F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()).alias("row")
+
+def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """`docs`, from `named`, without the rows that `dropped` names, and without the names."""
+    names = staged(dropped.select(FILE, PLACE), "dropped")
+    return docs.join(names, [FILE, PLACE], "left_anti").drop(FILE, PLACE)
 
 
 def whole_text(name: str = "text") -> Column:
