@@ -8,6 +8,8 @@ _HEADER = struct.Struct("<QBQI")
 # Every so many ones the directory notes the byte in which the next one lies.
 STEP = 64
 _ONES = np.array([bin(x).count("1") for x in range(256)], np.int64)
+# Where the k-th one of a byte is.
+_PLACE = np.array([[*(b for b in range(8) if x >> b & 1), *[0] * 8][:8] for x in range(256)], np.int64)
 
 
 def encode(values: np.ndarray) -> bytes:
@@ -57,6 +59,26 @@ class Reader:
             lower |= (int(self.low[place >> 3]) >> (place & 7) & 1) << bit
         return (upper << self.width) | lower
 
+    def select_many(self, numbers: np.ndarray) -> np.ndarray:
+        """`select` of ascending numbers at once; only the bytes between the first and the last are read."""
+        if not len(numbers):
+            return np.zeros(0, np.uint64)
+        if numbers[0] < 0 or numbers[-1] >= self.n:
+            raise IndexError(numbers)
+        entry, last = int(numbers[0]) // STEP, int(numbers[-1]) // STEP + 1
+        start = int(self.directory[entry])
+        stop = int(self.directory[last]) + 1 if last < len(self.directory) else len(self.high)
+        window = self.high[start:stop]
+        ones = np.cumsum(_ONES[window]) + int(self.before[entry])
+        byte = np.searchsorted(ones, numbers, side="right")
+        seen = ones[byte] - _ONES[window[byte]]
+        upper = ((start + byte) * 8 + _PLACE[window[byte], numbers - seen] - numbers).astype(np.uint64)
+        lower = np.zeros(len(numbers), np.uint64)
+        for bit in range(self.width):
+            place = numbers * self.width + bit
+            lower |= (self.low[place >> 3].astype(np.uint64) >> (place & 7).astype(np.uint64) & np.uint64(1)) << np.uint64(bit)
+        return (upper << np.uint64(self.width)) | lower
+
     def all(self) -> np.ndarray:
         """Every value, in order."""
         ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]

@@ -13,7 +13,8 @@ without segments. Columns of the input other than `doc_id, text` are not read.
 """
 
 import struct
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ from .tokens import encoder, vocabulary_path
 MAGIC = b"TWT1"
 # A segment is closed at so many ids, so it stays a few MB however large its part is.
 SEGMENT_TOKENS = 1 << 20
+# Documents whose boundaries are selected at a time when a segment is read.
+SELECTED = 4096
 
 SEGMENTS = "part int, segment int, n_docs long, n_tokens long, payload binary"
 
@@ -43,18 +46,30 @@ def _segment(doc_ids: list[int | None], ids: list[bytes]) -> tuple[int, int, byt
     return len(doc_ids), int(ends[-1]), payload
 
 
-def read_segment(payload: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
-    """doc_ids, ends of the documents and ids of one segment."""
-    if payload[:4] != MAGIC:
-        raise ValueError("not a segment of token ids")
-    width = payload[4]
-    reader = elias_fano.Reader(payload[5:])
-    at, n = 5 + reader.size, reader.n
-    known = np.frombuffer(payload, np.uint8, n, at)
-    keys = np.frombuffer(payload, "<i8", n, at + n)
-    tokens = np.frombuffer(payload, f"<u{width}", offset=at + 9 * n).astype("<u4")
-    doc_ids = [key if there else None for key, there in zip(keys.tolist(), known.tolist())]
-    return doc_ids, reader.all().astype(np.int64), tokens
+class Segment:
+    """One segment as it lies in its file: boundaries by `select`, ids by slices of the array."""
+
+    def __init__(self, payload: bytes):
+        if payload[:4] != MAGIC:
+            raise ValueError("not a segment of token ids")
+        width = payload[4]
+        self.ends = elias_fano.Reader(payload[5:])
+        at, self.n = 5 + self.ends.size, self.ends.n
+        self.known = np.frombuffer(payload, np.uint8, self.n, at)
+        self.keys = np.frombuffer(payload, "<i8", self.n, at + self.n)
+        self.tokens = np.frombuffer(payload, f"<u{width}", offset=at + 9 * self.n)
+
+    def documents(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """doc_ids, whether they are known, first id and end of the documents, `SELECTED` at a time."""
+        for low in range(0, self.n, SELECTED):
+            numbers = np.arange(low, min(low + SELECTED, self.n))
+            ends = self.ends.select_many(numbers).astype(np.int64)
+            before = self.ends.select(low - 1) if low else 0
+            yield self.keys[numbers], self.known[numbers] > 0, np.append(before, ends[:-1]), ends
+
+    def ids(self, start: int, end: int) -> bytes:
+        """Ids from `start` to `end` as little-endian unsigned 32-bit integers."""
+        return self.tokens[start:end].astype("<u4").tobytes()
 
 
 def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None) -> None:
@@ -75,11 +90,10 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None)
             return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(row, kind)], schema=kind)
 
         for batch in batches:
-            keys, parts = batch["doc_id"].to_pylist(), batch["part"]
-            for row, key in enumerate(keys):
-                part = parts[row].as_py() if not row else part
+            part = batch["part"][0].as_py() if batch.num_rows else part
+            for key, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
                 doc_ids.append(key)
-                ids.append(encode(batch["text"][row].as_py()))
+                ids.append(encode(text))
                 held += len(ids[-1]) // 4
                 if held >= SEGMENT_TOKENS:
                     yield closed()
@@ -95,39 +109,37 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None)
     parts.mapInArrow(segments, SEGMENTS).write.mode("overwrite").parquet(path)
 
 
-def read_token_files(spark: SparkSession, path: str) -> DataFrame:
+def read_token_files(
+    spark: SparkSession, path: str, kind: str = "ids binary", made: Callable[[bytes], object] = bytes
+) -> DataFrame:
     """`doc_id, start, n_tokens, ids`: ids as little-endian unsigned 32-bit integers.
 
     `start` counts the ids before a document: in earlier parts, earlier segments of its part and
     earlier documents of its segment. Only counts travel, one row per part, segment and document.
+    With `made` and its `kind` the last column is what that function makes of each document's ids where
+    they are read, so that the ids themselves need not leave the task.
     """
     ship(spark)
     files = spark.read.schema(SEGMENTS).parquet(path)
+    schema = f"part int, segment int, doc_id long, _inside long, n_tokens long, {kind}"
+    name, kind = kind.split()
+    arrow = {"binary": pa.binary(), "long": pa.int64()}[kind]
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, segment, payload in zip(*(batch[c] for c in ("part", "segment", "payload"))):
-                doc_ids, ends, tokens = read_segment(payload.as_py())
-                starts = np.concatenate([[0], ends[:-1]])
-                data = pa.LargeBinaryArray.from_buffers(
-                    pa.large_binary(),
-                    len(ends),
-                    [None, pa.py_buffer(np.append(0, ends * 4).astype("<i8")), pa.py_buffer(tokens)],
-                )
-                n = len(ends)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([part.as_py()] * n, pa.int32()),
-                        pa.array([segment.as_py()] * n, pa.int32()),
-                        pa.array(doc_ids, pa.int64()),
-                        pa.array(starts, pa.int64()),
-                        pa.array(ends - starts, pa.int64()),
-                        data.cast(pa.binary()),
-                    ],
-                    names=["part", "segment", "doc_id", "_inside", "n_tokens", "ids"],
-                )
-
-    schema = "part int, segment int, doc_id long, _inside long, n_tokens long, ids binary"
+            for part, segment, payload in zip(*(batch[c].to_pylist() for c in ("part", "segment", "payload"))):
+                read = Segment(payload)
+                for keys, known, starts, ends in read.documents():
+                    n = len(keys)
+                    values = [made(read.ids(a, b)) for a, b in zip(starts.tolist(), ends.tolist())]
+                    columns = [pa.array([x] * n, pa.int32()) for x in (part, segment)]
+                    columns += [pa.array(keys, pa.int64(), mask=~known)]
+                    columns += [pa.array(x, pa.int64()) for x in (starts, ends - starts)]
+                    yield pa.RecordBatch.from_arrays(
+                        [*columns, pa.array(values, arrow)],
+                        names=["part", "segment", "doc_id", "_inside", "n_tokens", name],
+                    )
+
     rows = files.mapInArrow(documents, schema)
     earlier = (Window.unboundedPreceding, -1)
     counts = files.select("part", "segment", "n_tokens")
@@ -140,18 +152,12 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         "segment",
         (F.col("_parts") + F.coalesce(F.sum("n_tokens").over(in_part), F.lit(0))).alias("_before"),
     )
-    return rows, before
-
-
-def located(rows: DataFrame, before: DataFrame) -> DataFrame:
-    """Add `start` to rows of documents; whatever of `ids` is not needed should be dropped before."""
-    return rows.join(before, ["part", "segment"]).withColumn("start", F.col("_before") + F.col("_inside"))
+    placed = rows.join(before, ["part", "segment"])
+    return placed.select("doc_id", (F.col("_before") + F.col("_inside")).alias("start"), "n_tokens", name)
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all documents as token-id files, read the files back, one row per document."""
     path = scratch_folder(spark, "token-files")
     write_token_files(spark.read.parquet(f"{sf_dir}/documents.parquet"), path)
-    rows, before = read_token_files(spark, path)
-    digests = rows.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return located(digests, before).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return read_token_files(spark, path, "ids_crc32 long", zlib.crc32)
