@@ -17,9 +17,12 @@ language.
 Nulls and odd rows: a null or empty page has no text evidence and is decided by its address, a page
 without anything by the overall prior; a null url belongs to the host ""; rows are judged one by one, so
 repeats get equal answers; ties go to the first language in alphabetic order; without any labelled
-document, or without pages, the result is empty of languages (null) or of rows. Other columns are kept.
+document, or without pages, the result is empty of languages (null) or of rows. Other columns than `html`
+are kept; those named like a result (`lang, probability, vote, declared, suffix, host`) are replaced.
 """
 
+import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +38,12 @@ DAMP = 60.0
 # Pages that the level above counts for, in each smoothing step.
 WEIGHT = 5.0
 
+RESULTS = ("lang", "probability", "vote", "declared", "suffix", "host")
+
+_OPENING = re.compile(r"(?i)<(script|style|nav|footer)\b|<!--")
+_CLOSING = re.compile(r"(?i)</(script|style|nav|footer)\s*>|-->")
+_TAG = re.compile(r"<[^>]*>")
+
 _CASE = np.array([x + 32 if 65 <= x <= 90 else x for x in range(256)], np.uint8)
 
 
@@ -51,11 +60,24 @@ def trigram_counts(text: str) -> np.ndarray:
 
 
 def visible(html: str) -> str:
-    """Text of a page without scripts, styles, comments, navigation and tags."""
-    import re
-
-    html = re.sub(r"(?is)<(script|style|nav|footer)\b.*?</\1\s*>|<!--.*?-->", " ", html)
-    return re.sub(r"<[^>]*>", " ", html)
+    """Text of a page without scripts, styles, comments, navigation and tags.
+
+    Every closing is found once and looked up by place, so an opening without one costs nothing more.
+    """
+    closings: dict[str, list[tuple[int, int]]] = {}
+    for found in _CLOSING.finditer(html):
+        closings.setdefault((found[1] or "").lower(), []).append(found.span())
+    parts, at = [], 0
+    for found in _OPENING.finditer(html):
+        own = closings.get((found[1] or "").lower(), [])
+        place = bisect_left(own, (found.end(), 0))
+        if found.start() >= at and place < len(own):
+            parts.append(html[at : found.start()])
+            at = own[place][1]
+    html = " ".join([*parts, html[at:]])
+    # Behind the last tag's end no tag can end.
+    last = html.rfind(">") + 1
+    return _TAG.sub(" ", html[:last]) + html[last:]
 
 
 def fit_text_model(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
@@ -80,6 +102,8 @@ def fit_text_model(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np
 
     rows = chosen.select("lang", "text").mapInArrow(count, "lang string, bucket long, n long")
     table = rows.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    if not len(table):
+        return [], np.zeros((0, BUCKETS))
     langs = sorted(table["lang"].unique())
     counts = np.ones((len(langs), BUCKETS))
     for at, lang in enumerate(langs):
@@ -88,9 +112,34 @@ def fit_text_model(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np
     return langs, np.log(counts / counts.sum(1, keepdims=True))
 
 
+def addresses(pages: DataFrame, langs: list[str]) -> DataFrame:
+    """`row`, the columns to keep as `input`, `html`, and what address and markup say of the language."""
+    html, url = F.coalesce("html", F.lit("")), F.lower(F.coalesce("url", F.lit("")))
+    host = F.regexp_extract(url, r"^[a-z][a-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]*)", 1)
+    tag = F.regexp_extract(html, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})\b", 1)
+    path = F.regexp_extract(url, r"^[a-z][a-z0-9+.-]*://[^/]*/(?:[^?#]*/)?([a-z]{2})(?:/|$|[?#])", 1)
+    tld = F.regexp_extract(host, r"([^.]*)$", 1)
+    kept = [pages[c] for c in pages.columns if c.lower() not in ("html", *RESULTS)]
+    return pages.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.struct(*kept, F.lit(0).alias("_tallywright")).alias("input"),
+        html.alias("html"),
+        host.alias("host"),
+        F.regexp_extract(host, r"([^.]*\.[^.]*)$", 1).alias("domain"),
+        tld.alias("tld"),
+        F.lower(tag).alias("declared"),
+        F.when(path.isin(langs) if langs else F.lit(False), path).when(F.length(tld) == 2, tld).otherwise("").alias("suffix"),
+    )
+
+
+def with_input(found: DataFrame) -> DataFrame:
+    """The columns of the input, then the results."""
+    return found.select("input.*", *RESULTS).drop("_tallywright")
+
+
 def evidence(pages: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame:
-    """`pages` with host, domain, tld, declared, suffix, the text's log likelihoods and its best
-    language; written out without the pages' own text."""
+    """`addresses` with the text's log likelihoods and its best language; written out without the
+    pages' own text."""
     spark = pages.sparkSession
     ship(spark)
     model = spark.sparkContext.broadcast(model.astype(np.float32))
@@ -107,25 +156,7 @@ def evidence(pages: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame
             out.append((logs - logs.max()).tolist())
         return pd.Series(out)
 
-    html, url = F.coalesce("html", F.lit("")), F.lower(F.coalesce("url", F.lit("")))
-    host = F.regexp_extract(url, r"^[a-z][a-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]*)", 1)
-    tag = F.regexp_extract(html, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})\b", 1)
-    path = F.regexp_extract(url, r"^[a-z][a-z0-9+.-]*://[^/]*/(?:[^?#]*/)?([a-z]{2})(?:/|$|[?#])", 1)
-    tld = F.regexp_extract("host", r"([^.]*)$", 1)
-    found = pages.withColumns(
-        {
-            "row": F.monotonically_increasing_id(),
-            "host": host,
-            "declared": F.lower(tag),
-            "text_logs": likelihood(html),
-        }
-    ).withColumns(
-        {
-            "domain": F.regexp_extract("host", r"([^.]*\.[^.]*)$", 1),
-            "tld": tld,
-            "suffix": F.when(path.isin(langs), path).when(F.length(tld) == 2, tld).otherwise(""),
-        }
-    )
+    found = addresses(pages, langs).withColumn("text_logs", likelihood("html"))
     best = F.element_at(F.lit(langs), F.array_position("text_logs", F.lit(0.0)).cast("int"))
     known = F.aggregate("text_logs", F.lit(0.0), lambda a, x: a + x) < 0
     return staged(found.withColumn("vote", F.when(known, best)).drop("html"), "evidence")
@@ -139,6 +170,9 @@ def _shares(votes: DataFrame, by: list[str], langs: list[str]) -> DataFrame:
 
 def fuse(pages: DataFrame, langs: list[str], model: np.ndarray, weight: float = WEIGHT) -> DataFrame:
     """Every page with `lang`, its `probability` and the parts of the evidence that speak for it."""
+    if not langs:
+        nothing = {"lang": F.lit(None).cast("string"), "probability": F.lit(None).cast("double"), "vote": F.lit(None).cast("string")}
+        return with_input(addresses(pages, langs).withColumns(nothing))
     found = evidence(pages, langs, model)
     k = len(langs)
     own = F.transform(F.lit(langs), lambda lang: F.when(F.col("vote") == lang, 1.0).otherwise(0.0))
@@ -188,7 +222,7 @@ def fuse(pages: DataFrame, langs: list[str], model: np.ndarray, weight: float =
     winner = F.filter("_scored", lambda x: x["score"] == F.col("_top"))[0]["lang"]
     mass = F.aggregate("_scored", F.lit(0.0), lambda s, x: s + F.exp(x["score"] - F.col("_top")))
     fused = fused.withColumns({"lang": winner, "probability": F.lit(1.0) / mass})
-    return fused.drop(*(c for c in fused.columns if c.startswith("_")))
+    return with_input(fused)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,6 +36,8 @@ def fill(names: list[str], size: int) -> list[int]:
     """The number of the owner of each slot."""
     if not names:
         raise ValueError("no shard")
+    if size != next_prime(size):
+        raise ValueError(f"{size} is no prime: a shard's steps would not reach every slot")
     digests = [md5(name.encode()).hexdigest() for name in names]
     offsets = [int(d[:15], 16) % size for d in digests]
     skips = [int(d[15:30], 16) % (size - 1) + 1 for d in digests]

@@ -34,7 +34,8 @@ THRESHOLD = 0.7
 # FTRL-proximal: rate alpha / (beta + sqrt(sum of squared gradients)), L1 and L2.
 ALPHA, BETA, L1, L2 = 2.0, 0.5, 1.5, 0.02
 
-SCORED = "doc_id long, held_out boolean, score double, predicted int"
+# The column that `score_documents` adds.
+SCORE = "_tallywright_score"
 
 
 def features(texts: list[bytes], bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +144,7 @@ def train(
 
 
 def score_documents(docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
-    """Every row of `docs` with its columns, and `_score`, the probability of label 1, in a new column."""
+    """Every row of `docs` with its columns, and `SCORE`, the probability of label 1, in a new column."""
     ship(docs.sparkSession)
     bits = (len(weights) - 1).bit_length() - 1
     table = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
@@ -160,7 +161,7 @@ def score_documents(docs: DataFrame, weights: np.ndarray, threshold: float = THR
             np.add.at(sums, low + (keys >> 32), w[keys & 0xFFFFFFFF])
         return pd.Series(1 / (1 + np.exp(-np.clip(sums, -30, 30))))
 
-    return docs.withColumn("_score", probability(whole_text()))
+    return docs.withColumn(SCORE, probability(whole_text()))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,8 +172,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id",
         F.coalesce(fold(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"),
-        F.col("_score").alias("score"),
-        (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"),
+        F.col(SCORE).alias("score"),
+        (F.col(SCORE) >= THRESHOLD).cast("int").alias("predicted"),
     )
 
 
@@ -180,4 +181,4 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that are not predicted toxic, with their columns."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = score_documents(docs, train(docs, labels))
-    return scored.filter(F.col("_score") < THRESHOLD).drop("_score")
+    return scored.filter(F.col(SCORE) < THRESHOLD).drop(SCORE)
