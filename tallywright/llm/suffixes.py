@@ -14,15 +14,19 @@ doc_id. Strings are judged on the input and never cross documents.
    record once.
 4. Each task sorts its records in shards of bounded size by a suffix array: by the first eight bytes, then
    Larsson-Sadakane refinement, which sorts only what is still unsorted by the ranks half a prefix on.
-   Neighbours whose common prefix reaches `length` hold the same string. The prefixes are those of
-   Kasai's algorithm, taken for all neighbours at once and only up to `length`. The strings of a shard
-   are merged with those of the others by binary search, which gives every string its smallest doc_id.
+   Neighbours whose common prefix reaches `length` hold the same string. Prefixes are compared directly:
+   Kasai's bound, one less than at the place before, needs suffixes sorted to their ends, and these are
+   sorted only as far as strings reach. The strings of a shard are merged with those of the others by
+   binary search, which gives every string its smallest doc_id.
 5. The strings found go back to their batches, named by the place of their record, and the bytes that
    they cover are taken out wherever the record occurs. Anchors are found anew each time a batch is read:
    that is cheaper than keeping them.
 
 A passage that a third of all documents share is one record per batch in step 3, so no task sees all its
-copies. Batches, buckets and shards are bounded in bytes; their numbers grow with the data.
+copies. Its edges stand beside something else in every document, though, and all these records would have
+one anchor: so an anchor that more than `HOT_BATCHES` batches have does not deal records. Its strings of
+`length` bytes are dealt one by one, by their own content. Batches and shards are bounded in bytes, and so
+is what one anchor brings to a bucket; the numbers of batches and buckets grow with the data.
 
 Nulls and odd rows: a null text is empty, a null doc_id is smaller than any other; rows with one doc_id
 do not remove anything from each other; texts shorter than `length` keep all bytes; an empty table gives
@@ -37,6 +41,7 @@ import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from xxhash import xxh64_intdigest
 
 from .tasks import ship, staged, whole_text
 from .words import _computed, _position_powers, mixed
@@ -47,13 +52,15 @@ BATCH_BYTES = 4 << 20
 # Input bytes for each bucket of anchors and records, and bytes of records sorted at once.
 BUCKET_BYTES = 6 << 20
 SHARD_BYTES = 4 << 20
+# Batches that an anchor may be in before its strings are dealt one by one.
+HOT_BATCHES = 64
 
 _PLACE_BITS = np.uint64(30)
 _NONE = np.iinfo(np.int64).min
 
 BATCHES = "batch long, n_bytes long, doc_ids binary, lengths binary, payload binary"
 ANCHORS = "bucket int, batch long, n int, codes binary, several binary"
-SHARED = "bucket int, batch long, codes binary"
+SHARED = "bucket int, batch long, n int, codes binary, hot binary"
 RECORDS = "bucket int, batch long, ints binary, longs binary, payload binary"
 RUNS = "batch long, ints binary, longs binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
@@ -188,6 +195,7 @@ def common_prefixes(key: np.ndarray, suffixes: np.ndarray, most: int) -> np.ndar
     """Length, up to `most`, of the common prefix of each of `suffixes` with the one before it.
 
     `key` has the eight bytes from each place on; every suffix has `most` bytes. The first gets 0.
+    All neighbours are compared at once, eight bytes a step, those that still agree a step further.
     """
     lcp = np.zeros(len(suffixes), np.int64)
     going = np.arange(1, len(suffixes))
@@ -268,6 +276,7 @@ def remove_repeats(
     batch_bytes: int = BATCH_BYTES,
     bucket_bytes: int = BUCKET_BYTES,
     shard_bytes: int = SHARD_BYTES,
+    hot_batches: int = HOT_BATCHES,
 ) -> DataFrame:
     """One row per document: `doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans`."""
     batches = batches_of(docs, batch_bytes)
@@ -312,26 +321,56 @@ def remove_repeats(
         same = code[1:] == code[:-1]
         kept[1:] |= same
         kept[:-1] |= same
-        code, batch = code[kept], batch[kept]
+        # A batch names an anchor once, so these are the batches that have it.
+        times = np.searchsorted(code, code, side="right") - np.searchsorted(code, code)
+        code, batch, hot = code[kept], batch[kept], (times > hot_batches)[kept]
         order = np.argsort(batch, kind="stable")
         cuts = np.searchsorted(batch[order], np.arange(len(rows) + 1))
         some = [n for n in range(len(rows)) if cuts[n] < cuts[n + 1]]
-        parts = [code[order[cuts[n] : cuts[n + 1]]].tobytes() for n in some]
-        keys = [rows[n]["bucket"] for n in some], [rows[n]["batch"] for n in some]
-        return pa.Table.from_batches([_batch(SHARED, *keys, parts)])
+        mine = [order[cuts[n] : cuts[n + 1]] for n in some]
+        keys = [rows[n]["bucket"] for n in some], [rows[n]["batch"] for n in some], [len(x) for x in mine]
+        parts = [code[x].tobytes() for x in mine], [np.packbits(hot[x]).tobytes() for x in mine]
+        return pa.Table.from_batches([_batch(SHARED, *keys, *parts)])
 
     def whole(bucket: np.ndarray | int, code: np.ndarray) -> np.ndarray:
         return code.astype(np.int64) * buckets + bucket
 
+    def one_by_one(contents, places, least, most, dealt, alone):
+        """Records of hot anchors as strings of `length` bytes, each dealt by its content.
+
+        Their places are told apart by being negative.
+        """
+        single: dict[bytes, list[int]] = {}
+        for at in np.flatnonzero(alone).tolist():
+            record, place = contents[at], int(places[at])
+            for offset in range(len(record) - length + 1):
+                seen = single.setdefault(record[offset : offset + length], [-1 - place - offset, least[at], most[at]])
+                seen[1], seen[2] = min(seen[1], least[at]), max(seen[2], most[at])
+        kept = np.flatnonzero(~alone)
+        more = np.array(list(single.values()), np.int64).reshape(-1, 3).T
+        own = np.array([xxh64_intdigest(x) % buckets for x in single], np.int32)
+        return (
+            [contents[i] for i in kept] + list(single),
+            np.concatenate([places[kept], more[0]]),
+            np.concatenate([least[kept], more[1]]),
+            np.concatenate([most[kept], more[2]]),
+            np.concatenate([dealt[kept], own]),
+        )
+
     def records(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[tuple] = []
-        known = [whole(x["bucket"], _read(x["codes"], "<u4")) for x in right.to_pylist()]
-        common = np.sort(np.concatenate(known)) if known else []
+        rows = right.to_pylist()
+        known = [whole(x["bucket"], _read(x["codes"], "<u4")) for x in rows]
+        common = np.concatenate(known) if known else np.zeros(0, np.int64)
+        flags = [np.unpackbits(_read(x["hot"], np.uint8))[: x["n"]] > 0 for x in rows]
+        hot = np.sort(common[np.concatenate(flags)]) if known else common
+        common = np.sort(common)
         for row in left.to_pylist() if len(common) else ():
             text = _Text(row)
             hashes, owner, first, last = text.anchors(length, gram)
             bucket, code = codes(hashes)
-            found = np.flatnonzero(_sorted_in(whole(bucket, code), common))
+            named = whole(bucket, code)
+            found = np.flatnonzero(_sorted_in(named, common))
             number: dict[bytes, int] = {}
             of, places = np.empty(len(found), np.int64), []
             for at, (a, b) in enumerate(zip(first[found].tolist(), last[found].tolist())):
@@ -343,9 +382,11 @@ def remove_repeats(
             least, most = np.full(len(number), np.iinfo(np.int64).max), np.full(len(number), _NONE)
             np.minimum.at(least, of, keys)
             np.maximum.at(most, of, keys)
-            dealt = np.empty(len(number), np.int32)
-            dealt[of] = bucket[found]
+            dealt, alone = np.empty(len(number), np.int32), np.zeros(len(number), bool)
+            dealt[of], alone[of] = bucket[found], _sorted_in(named[found], hot)
             contents, places = list(number), np.array(places, np.int64)
+            if alone.any():
+                contents, places, least, most, dealt = one_by_one(contents, places, least, most, dealt, alone)
             order = np.argsort(dealt, kind="stable")
             cuts = np.flatnonzero(np.append(True, np.diff(dealt[order]) != 0)) if len(order) else order
             for a, b in zip(cuts, np.append(cuts[1:], len(order))):
@@ -383,6 +424,25 @@ def remove_repeats(
                     out.append((batch, zstandard.compress(ints, 1), zstandard.compress(_longs(doc[at]), 1)))
         return pa.Table.from_batches([_batch(RUNS, *(zip(*out) if out else [[]] * 3))])
 
+    def strings_of(text, places, docs, hashes, owner, first, last):
+        """Every start of the strings at `places` in the batch, and whether an earlier document has it."""
+        data = text.data
+        known = {data[p : p + length]: doc for p, doc in zip(places.tolist(), docs.tolist())}
+        named = np.sort(hashes[np.searchsorted(first, places, side="right") - 1])
+        found = np.flatnonzero(_sorted_in(hashes, named))
+        hits: dict[bytes, list[tuple[int, int]]] = {}
+        starts, goes = [], []
+        for x, y, document in zip(first[found].tolist(), last[found].tolist(), owner[found].tolist()):
+            record = data[x : y + length]
+            if record not in hits:
+                strings = (record[k : k + length] for k in range(y - x + 1))
+                hits[record] = [(k, known[s]) for k, s in enumerate(strings) if s in known]
+            key = text.doc_ids[document]
+            for offset, doc in hits[record]:
+                starts.append(x + offset)
+                goes.append(doc < key)
+        return np.array(starts, np.int64), np.array(goes, bool)
+
     def cleaned(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[dict] = []
         runs = [
@@ -395,9 +455,15 @@ def remove_repeats(
             if runs:
                 record, a, b = np.concatenate([x for x, _ in runs], axis=1).astype(np.int64)
                 doc = np.concatenate([x for _, x in runs])
+                hashes, owner, first, last = text.anchors(length, gram)
+                single = record < 0
+                if single.any():
+                    start, goes = strings_of(text, -1 - record[single], doc[single], hashes, owner, first, last)
+                    np.add.at(edge, start[goes], 1)
+                    np.add.at(edge, start[goes] + length, -1)
+                    record, a, b, doc = record[~single], a[~single], b[~single], doc[~single]
                 order = np.argsort(record, kind="stable")
                 record, a, b, doc = record[order], a[order], b[order], doc[order]
-                hashes, owner, first, last = text.anchors(length, gram)
                 named = np.unique(record)
                 at_named = np.searchsorted(first, named)
                 place_of = {

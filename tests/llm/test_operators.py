@@ -71,12 +71,39 @@ def test_encoder_gives_the_ids_of_the_whole_text():
 def test_elias_fano_round_trip(values):
     reader = elias_fano.Reader(elias_fano.encode(np.array(values)))
     assert reader.all().tolist() == values == [reader.select(i) for i in range(len(values))]
+    for low in range(0, len(values), 50):
+        for high in {low, low + 1, low + 63, low + 64, low + 65, len(values)}:
+            numbers = np.arange(low, min(high, len(values)))
+            assert reader.select_many(numbers).tolist() == values[low:high]
+
+
+def test_op3_reads_back_what_the_library_gives(spark, monkeypatch):
+    """Of the whole table; boundaries by `select`, never by unpacking them all."""
+    tokenizer = encoder(vocabulary_path()).tokenizer
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()
+    start, want = 0, []
+    for row in docs:
+        ids = unsigned(tokenizer.encode(row.text or "", add_special_tokens=False).ids + [0])
+        want.append((row.doc_id, start, len(ids) // 4, zlib.crc32(ids)))
+        start += len(ids) // 4
+    got = token_files.op3_token_files(spark, SF).collect()
+    assert sorted(map(tuple, got)) == want
+
+
+def test_segments_select_across_windows(monkeypatch):
+    monkeypatch.setattr(token_files, "SELECTED", 7)
+    ids = [unsigned([n % 60_000] * (n % 5 + 1)) for n in range(100)]
+    _, total, payload = token_files._segment([None if n % 9 == 0 else n for n in range(100)], ids)
+    segment, got = token_files.Segment(payload), []
+    segment.ends.all = None
+    for keys, known, starts, ends in segment.documents():
+        got += [(k if w else None, segment.ids(a, b)) for k, w, a, b in zip(keys, known, starts, ends)]
+    assert got == [(None if n % 9 == 0 else n, ids[n]) for n in range(100)] and total == sum(map(len, ids)) // 4
 
 
 def test_token_files_round_trip(spark, docs, none, tmp_path):
     token_files.write_token_files(docs, str(tmp_path / "t"))
-    rows, before = token_files.read_token_files(spark, str(tmp_path / "t"))
-    got = sorted(token_files.located(rows, before).collect(), key=lambda r: r.start)
+    got = sorted(token_files.read_token_files(spark, str(tmp_path / "t")).collect(), key=lambda r: r.start)
     tokenizer = encoder(vocabulary_path()).tokenizer
     at = 0
     for row in got:
@@ -87,7 +114,7 @@ def test_token_files_round_trip(spark, docs, none, tmp_path):
     want = Counter((r[0], unsigned(tokenizer.encode(text_of(r), add_special_tokens=False).ids + [0])) for r in ROWS)
     assert Counter((r.doc_id, bytes(r.ids)) for r in got) == want
     token_files.write_token_files(none, str(tmp_path / "none"))
-    assert token_files.located(*token_files.read_token_files(spark, str(tmp_path / "none"))).isEmpty()
+    assert token_files.read_token_files(spark, str(tmp_path / "none")).isEmpty()
 
 
 @pytest.mark.parametrize("capacity, chunk", [(1024, 1 << 19), (16, 64)])
@@ -148,7 +175,7 @@ def brute_fingerprint(text, n=3):
 def test_simhash_components(docs, none):
     rows = simhash.near_groups(docs).collect()
     want = [(r[0], brute_fingerprint(text_of(r))) for r in ROWS]
-    assert Counter((r.doc_id, r.fp[0] % (1 << 64)) for r in rows) == Counter(want)
+    assert Counter((r.doc_id, r.fp % (1 << 64)) for r in rows) == Counter(want)
     parent = list(range(len(want)))
     for _ in want:
         for i, (_, a) in enumerate(want):
@@ -172,7 +199,7 @@ def test_tiles_lose_no_link(spark, tile):
     base = rng.integers(0, 1 << 62, 60)
     fps = {int(x) for x in base} | {int(x) ^ (1 << int(a)) ^ (1 << int(b)) for x in base for a, b in rng.integers(0, 62, (4, 2))}
     fps = sorted(fps)
-    frame = spark.createDataFrame([(i, [x], 1) for i, x in enumerate(fps)], "id long, fp array<long>, size long")
+    frame = spark.createDataFrame(list(enumerate(fps)), "id long, fp long")
     got = {r.node: r.root for r in components(simhash.links_within(frame, 3, tile), "a", "b").collect()}
     label = list(range(len(fps)))
     changed = True
@@ -185,6 +212,32 @@ def test_tiles_lose_no_link(spark, tile):
     assert [got.get(i, i) for i in range(len(fps))] == label
 
 
+def test_tile_pairs_beyond_the_radius_are_never_sent(spark):
+    """Of one large key: pairs within 3 counts of each other meet once, others never."""
+    rng = np.random.default_rng(4)
+    fps = [int(x) for x in rng.integers(0, 1 << 62, 700)]
+    entries = spark.createDataFrame([(i, x, 5 if i < 600 else 6) for i, x in enumerate(fps)], "id long, fp long, key long")
+    met, sent = defaultdict(int), 0
+    groups = defaultdict(list)
+    for row in simhash.dealt(entries, 3, 100).collect():
+        groups[row.key, row.low, row.high].append((row.id, row.own))
+        sent += 1
+    for (key, low, high), members in groups.items():
+        assert len(members) <= 200
+        for at, (a, own) in enumerate(members):
+            for b, other in members[:at]:
+                if low == high or own != other:
+                    met[min(a, b), max(a, b)] += 1
+                    if key == 5:
+                        assert abs((own >> 32) - (other >> 32)) <= 3
+    for a in range(700):
+        for b in range(a + 1, 700):
+            near = (a < 600) == (b < 600) and (a >= 600 or abs(fps[a].bit_count() - fps[b].bit_count()) <= 3)
+            assert met.get((a, b), 0) == near
+    tiles = len({key for key in groups if key[1] == key[2] and key[0] == 5})
+    assert sent < 0.7 * 600 * tiles + 100
+
+
 def test_near_copies_of_a_pipeline(docs):
     kept = {r.text for r in simhash.without_near_copies(docs).collect()}
     assert len({LONG, LONG[:-8] + " changed"} & kept) == 1
@@ -234,21 +287,44 @@ def test_toxicity_learns_from_its_folds(spark, none):
     weights = toxicity.train(docs, labels)
     held = docs.join(labels, "doc_id").filter(toxicity.fold(F.col("doc_id")) == 1)
     counts = Counter(
-        (r.toxic, r._score >= toxicity.THRESHOLD) for r in toxicity.score_documents(held, weights).select("toxic", "_score").collect()
+        (r.toxic, r[toxicity.SCORE] >= toxicity.THRESHOLD) for r in toxicity.score_documents(held, weights).select("toxic", toxicity.SCORE).collect()
     )
     assert counts[(0, True)] <= 0.01 * counts[(0, False)]
     assert counts[(1, True)] >= 0.6 * (counts[(1, True)] + counts[(1, False)])
     assert toxicity.score_documents(none, weights).isEmpty()
     odd = spark.createDataFrame([(None, None), (1, "")], "doc_id long, text string")
-    assert len({r._score for r in toxicity.score_documents(odd, weights).collect()}) == 1
+    assert len({r[toxicity.SCORE] for r in toxicity.score_documents(odd, weights).collect()}) == 1
     assert not np.any(toxicity.train(odd, labels.limit(0))[:-1])
 
 
-@pytest.mark.parametrize("sizes", [{}, {"batch_bytes": 4000, "bucket_bytes": 9000, "shard_bytes": 900}])
+SMALL = {"batch_bytes": 4000, "bucket_bytes": 9000, "shard_bytes": 900}
+
+
+@pytest.mark.parametrize("sizes", [{}, SMALL, SMALL | {"hot_batches": 0}, SMALL | {"hot_batches": 1}, {"hot_batches": 0}])
 def test_repeats_are_removed(docs, none, sizes):
     extra = docs.unionByName(docs.filter("doc_id = 5").withColumn("doc_id", F.lit(50).cast("long")))
     rows = suffixes.remove_repeats(extra, **sizes).collect()
     pairs = [(r[0], text_of(r).encode()) for r in ROWS] + [(50, LONG.encode())]
+    assert_without_repeats(rows, pairs)
+    assert suffixes.remove_repeats(none).isEmpty()
+
+
+@pytest.mark.parametrize("hot", [0, 5, 64, 10**9])
+def test_one_line_in_every_document(spark, hot):
+    """The line's edges stand beside other text everywhere, also beside other copies of parts of it."""
+    rng = np.random.default_rng(8)
+    line = "THIS LINE IS IN EVERY DOCUMENT OF THE CORPUS, ONCE OR TWICE, WORD FOR WORD. "
+    rows = []
+    for n in range(300):
+        own = ["".join(rng.choice(list("abcdefgh "), rng.integers(0, 90))) for _ in range(3)]
+        middle = line if n % 3 else line[: int(rng.integers(20, 70))]
+        rows.append((n if n % 50 else None, own[0] + line + own[1] + middle + own[2]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    found = suffixes.remove_repeats(docs, batch_bytes=1500, bucket_bytes=9000, shard_bytes=2000, hot_batches=hot)
+    assert_without_repeats(found.collect(), [(key, text.encode()) for key, text in rows])
+
+
+def assert_without_repeats(rows, pairs):
     low = lambda key: -(1 << 62) if key is None else key
     first = {}
     for key, data in sorted(pairs, key=lambda p: low(p[0])):
@@ -264,7 +340,22 @@ def test_repeats_are_removed(docs, none, sizes):
         kept = bytes(x for x, g in zip(data, gone) if not g)
         want[key, len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()] += 1
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows) == want
-    assert suffixes.remove_repeats(none).isEmpty()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_common_prefixes_are_those_of_neighbours(seed):
+    rng = np.random.default_rng(seed)
+    parts = [bytes(rng.choice(list(b"ab"), rng.integers(50, 69))) for _ in range(12)]
+    records = [parts[i] for i in rng.integers(0, 12, 30)] + [b"a" * 60, b"a" * 68]
+    text = np.frombuffer(b"\xff".join(records) + b"\xff", np.uint8)
+    key, data = suffixes.eight_bytes(text), text.tobytes()
+    order = suffixes.suffix_array(text, 50, key)
+    whole = np.array([i for i in order.tolist() if b"\xff" not in data[i : i + 50] and i + 50 <= len(data)])
+    want = [0]
+    for a, b in zip(whole[:-1].tolist(), whole[1:].tolist()):
+        want.append(next((h for h in range(50) if data[a + h] != data[b + h]), 50))
+    assert suffixes.common_prefixes(key, whole, 50).tolist() == want
+    assert len(suffixes.common_prefixes(key, whole[:0], 50)) == 0
 
 
 def test_suffix_array_sorts_to_its_depth():
