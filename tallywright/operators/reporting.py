@@ -94,6 +94,7 @@ def report_amounts(invoices: DataFrame) -> DataFrame:
         or_dash(F.col("vendor_tax_id")).alias("vendor_tax_id"),
         or_dash(F.col("vendor_iban")).alias("vendor_iban"),
         or_dash(F.col("customer_name")).alias("customer_name"),
+        or_dash(F.col("customer_address")).alias("customer_address"),
         shown_amount(F.col("subtotal")).alias("subtotal"),
         shown_amount(F.col("vat_amount")).alias("vat_amount"),
         F.when(rate != 0, F.concat(F.lit("("), (rate * 100).cast("int").cast("string"), F.lit("%)")))

@@ -9,7 +9,7 @@ from ..functions import dates, money
 from ..functions.text import clean_text as collapse_spaces, fill, joined
 from ..operators import audit, intake, outcome, reporting
 from ..operators.crosscheck import grand_total_mismatch, item_sum_mismatch
-from ..operators.mapping import map_header
+from ..operators.mapping import judged_lines, map_header
 from ..operators.uniqueness import mark_first
 from ..shared import scratch_folder, stage
 from ..sources.assembly import document_totals
@@ -166,6 +166,24 @@ def model_rejects(spark, sf_dir):
     )
 
 
+@query
+def item_constraints(spark, sf_dir):
+    """What no stored item may have, one line of an order after the other: empty descriptions, missing,
+    unreadable and negative quantities, prices out of range."""
+    key, quantity = F.col("order_key"), F.col("l_quantity").cast("string")
+    amount_text = F.col("l_extendedprice").cast("string")
+    written = F.when(key % 7 == 0, "two").when(key % 11 == 0, F.concat(F.lit("-"), quantity)).otherwise(quantity)
+    item = F.struct(
+        tables.as_field(F.when(key % 3 == 0, "").otherwise("Part")).alias("Description"),
+        tables.as_field(F.when(key % 5 != 0, written)).alias("Quantity"),
+        tables.as_field(F.when(key % 13 == 0, "2000000000").otherwise(amount_text)).alias("UnitPrice"),
+        tables.as_field(amount_text).alias("Amount"),
+    )
+    rows = tables.trade_lines(spark, sf_dir).select(key, F.col("l_linenumber").alias("position"), item.alias("item"))
+    broken = judged_lines(rows).filter(F.col("error").isNotNull())
+    return broken.select("order_key", "position", F.col("error").alias("reason"))
+
+
 @query
 def json_fields(spark, sf_dir):
     """Responses as JSON text around each event's own JSON: one document, none, or broken text."""
@@ -450,15 +468,25 @@ def due_date_rule(spark, sf_dir):
 
 @query
 def locale_values(spark, sf_dir):
-    """Amounts and dates as written on a document, read back; every 17th amount is unreadable."""
-    form = F.col("order_key") % 3
-    text = F.when(F.col("order_key") % 17 == 0, "auf Anfrage").otherwise(
-        money.german_amount(F.col("price"))
+    """Amounts and dates as written on a document, read back, in every form and some that are none.
+
+    Amounts are German with `EUR` or `€`, negative, or plain; `1.234` may be either and is not read.
+    Every 17th amount is a word, every 19th date a day that does not exist.
+    """
+    key, price = F.col("order_key"), F.col("price")
+    german, form = money.german_amount(price), key % 5
+    text = (
+        F.when(key % 17 == 0, "auf Anfrage")
+        .when(form == 1, price.cast("string"))
+        .when(form == 2, F.concat((key % 900 + 100).cast("string"), F.lit("."), (key % 800 + 100).cast("string")))
+        .when(form == 3, F.replace(german, F.lit("EUR"), F.lit("€")))
+        .when(form == 4, F.concat(F.lit("-"), german))
+        .otherwise(german)
     )
     written = _orders(spark, sf_dir).select(
         "order_key",
         text.alias("amount_text"),
-        dates.written_date(F.col("day"), form).alias("date_text"),
+        F.when(key % 19 == 0, "31.02.2024").otherwise(dates.written_date(F.col("day"), key % 3)).alias("date_text"),
     )
     return written.select(
         "order_key",
@@ -519,7 +547,7 @@ def report_row(spark, sf_dir):
 def report_amounts(spark, sf_dir):
     columns = (
         "invoice_date due_date vendor_name vendor_address vendor_tax_id vendor_iban customer_name "
-        "subtotal vat_amount vat_rate total_amount"
+        "customer_address subtotal vat_amount vat_rate total_amount"
     ).split()
     return reporting.report_amounts(
         tables.stored_documents(spark, sf_dir, *columns, customers=True)

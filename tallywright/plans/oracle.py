@@ -76,7 +76,8 @@ header AS (
               ELSE s_name END AS vendor_name,
          coalesce(n_name, 'none') AS vendor_address,
          'DE' || lpad(CAST(supplier_1 AS VARCHAR), greatest(9, length(CAST(supplier_1 AS VARCHAR)))::INTEGER, '0') AS vendor_tax_id,
-         c_name AS customer_name, lines_sum AS subtotal, vat_amount,
+         c_name AS customer_name, CASE WHEN o.k % 3 <> 0 THEN customer_nation END AS customer_address,
+         lines_sum AS subtotal, vat_amount,
          CASE WHEN vat_amount <> 0
               THEN round(CAST(vat_amount AS DOUBLE) / CAST(lines_sum AS DOUBLE), 12) END AS vat_rate,
          CASE WHEN o.k % 127 = 0 THEN NULL WHEN n_lines IS NULL THEN CAST(o_totalprice AS DECIMAL(18,2))
@@ -100,7 +101,8 @@ header AS (
                     ELSE 0.19 END, 2) AS DECIMAL(18,2)) END AS vat_amount FROM facts) f ON f.k = o.k
   LEFT JOIN supplier ON s_suppkey = supplier_1
   LEFT JOIN nation ON n_nationkey = s_nationkey
-  LEFT JOIN customer ON c_custkey = o_custkey),
+  LEFT JOIN (SELECT c_custkey, c_name, n_name AS customer_nation
+             FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey) ON c_custkey = o_custkey),
 warned AS (
   SELECT h.*, round_even(mean_conf, 4) AS score,
          CASE WHEN k % 151 = 0 THEN 'preprocessing'
@@ -236,7 +238,7 @@ ORACLE: dict[str, str] = {
         DOCUMENTS,
         """SELECT source_file, invoice_number, CAST(invoice_date AS VARCHAR) AS invoice_date,
              CAST(due_date AS VARCHAR) AS due_date, vendor_name, vendor_address, vendor_tax_id,
-             CAST(NULL AS VARCHAR) AS vendor_iban, customer_name, CAST(NULL AS VARCHAR) AS customer_address,
+             CAST(NULL AS VARCHAR) AS vendor_iban, customer_name, customer_address,
              CAST(subtotal AS DOUBLE) AS subtotal, CAST(vat_amount AS DOUBLE) AS vat_amount,
              CAST(total_amount AS DOUBLE) AS total_amount FROM header""",
     ),
@@ -393,9 +395,21 @@ ORACLE: dict[str, str] = {
                 month(o_orderdate), least(day(o_orderdate) + 14, 28)) AS due FROM orders)""",
     "locale_values": """
         SELECT o_orderkey AS order_key,
-               CASE WHEN o_orderkey % 17 <> 0 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) END AS amount,
-               CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day
+               CASE WHEN o_orderkey % 17 <> 0 AND o_orderkey % 5 <> 2
+                    THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE)
+                         * CASE WHEN o_orderkey % 5 = 4 THEN -1 ELSE 1 END END AS amount,
+               CASE WHEN o_orderkey % 19 <> 0 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS day
         FROM orders""",
+    "item_constraints": f"""
+        SELECT k AS order_key, position, 'Line item ' || position || ': ' || array_to_string(found, ', ') AS reason
+        FROM (SELECT l_orderkey AS k, l_linenumber AS position, {_kept(
+            "CASE WHEN l_orderkey % 3 = 0 THEN 'description is empty' END",
+            "CASE WHEN l_orderkey % 5 <> 0 AND l_orderkey % 7 = 0 THEN 'quantity is not a number' END",
+            "CASE WHEN l_orderkey % 5 = 0 THEN 'quantity is missing' END",
+            "CASE WHEN l_orderkey % 5 <> 0 AND l_orderkey % 7 <> 0 AND l_orderkey % 11 = 0 "
+            "THEN 'quantity is not greater than 0' END",
+            "CASE WHEN l_orderkey % 13 = 0 THEN 'amount is out of range' END")} AS found FROM lineitem)
+        WHERE len(found) > 0""",
     "review_queue": _q(
         DECIDED,
         f"""SELECT source_file, invoice_number, {_joined("issues")} AS validation_issues
@@ -436,7 +450,8 @@ ORACLE: dict[str, str] = {
         f"""SELECT source_file, strftime(invoice_date, '%d %b %Y') AS invoice_date,
              coalesce(strftime(due_date, '%d %b %Y'), '—') AS due_date, vendor_name, vendor_address,
              coalesce(vendor_tax_id, '—') AS vendor_tax_id, '—' AS vendor_iban,
-             coalesce(customer_name, '—') AS customer_name, {EURO.format("subtotal")} AS subtotal,
+             coalesce(customer_name, '—') AS customer_name,
+             coalesce(customer_address, '—') AS customer_address, {EURO.format("subtotal")} AS subtotal,
              {EURO.format("vat_amount")} AS vat_amount,
              coalesce('(' || CAST(trunc(vat_rate * 100) AS INTEGER) || '%)', '') AS vat_rate,
              {EURO.format("total_amount")} AS total_amount FROM stored""",

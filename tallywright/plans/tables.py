@@ -28,6 +28,8 @@ from .batch import intake_verdict, judge
 AS_OF = "2006-01-01"
 SHIFT_DAYS = 1826
 CENTS = "decimal(18,2)"
+# Sums of any number of lines; what no invoice can hold is rejected later, by reason.
+WIDE = "decimal(30,2)"
 
 # What orders the lines of an order.
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity"]
@@ -110,9 +112,12 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_facts(first_supplier: Column) -> dict[str, Column]:
     """What a document takes from its line rows besides the item rules."""
+    price = F.col("l_extendedprice").try_cast(CENTS)
+    # A line beyond its type makes the sum unknown; it is not left out of it.
+    whole = F.count(price) == F.count("l_extendedprice")
     return {
         "n_lines": F.count("*"),
-        "lines_sum": F.sum(F.col("l_extendedprice").cast(CENTS)).cast(CENTS),
+        "lines_sum": F.when(whole, F.sum(price)).cast(WIDE),
         "first_ship": F.min("l_shipdate"),
         "first_supplier": first_supplier,
     }
@@ -138,13 +143,13 @@ def headers(
     # As many facts as orders: never a side to broadcast, and already partitioned by order.
     documents = orders.join(facts.hint("merge"), "order_key", "left")
     documents = documents.join(suppliers, "first_supplier", "left")
-    customer_name = F.lit(None).cast("string")
+    customer_name = customer_nation = F.lit(None).cast("string")
     if customers:
-        names = table(spark, sf_dir, "customer").select(
-            F.col("c_custkey").alias("o_custkey"), "c_name"
-        )
-        documents = documents.join(names, "o_custkey", "left")
-        customer_name = F.col("c_name")
+        nations = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("c_nation"))
+        known = table(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        known = known.select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_nation")
+        documents = documents.join(known, "o_custkey", "left")
+        customer_name, customer_nation = F.col("c_name"), F.when(~every(3), F.col("c_nation"))
 
     none = F.col("n_lines").isNull()
     invoice_date = shifted(F.col("o_orderdate"))
@@ -161,14 +166,13 @@ def headers(
         .when(residue != 4, "0.19")
         .cast("decimal(3,2)")
     )
-    documents = documents.withColumn("tax", vat_of(F.col("lines_sum"), rate).cast(CENTS))
+    documents = documents.withColumn("tax", vat_of(F.col("lines_sum"), rate).cast(WIDE))
     extra = F.when(every(23), "1.00").when(every(31), "0.01").otherwise("0.00").cast(CENTS)
-    gross = F.col("lines_sum") + F.coalesce("tax", F.lit(0).cast(CENTS)) + extra
+    gross = F.col("lines_sum") + F.coalesce("tax", F.lit(0).cast(WIDE)) + extra
     total = (
-        F.when(none, F.col("o_totalprice").cast(CENTS))
+        F.when(none, F.col("o_totalprice").try_cast(CENTS))
         .when(every(101), -gross)
         .otherwise(gross)
-        .cast(CENTS)
         .cast("string")
     )
     others = F.lit(0.9) + (F.col("order_key") % 10) / F.lit(100.0)
@@ -187,7 +191,7 @@ def headers(
         ),
         "VendorTaxId": F.when(~none, as_field(tax_id)),
         "CustomerName": F.when(customer_name.isNotNull(), as_field(customer_name)),
-        "CustomerAddress": F.when(F.lit(False), as_field(F.lit(""))),
+        "CustomerAddress": F.when(customer_nation.isNotNull(), as_field(customer_nation)),
         "SubTotal": F.when(~none, as_field(F.col("lines_sum"))),
         "TotalTax": F.when(F.col("tax").isNotNull(), as_field(F.col("tax"))),
     }
@@ -197,7 +201,7 @@ def headers(
             "order_time": F.col("o_orderdate").cast("timestamp"),
             "fields": F.struct(*(column.alias(name) for name, column in fields.items())),
         }
-    ).drop("s_name", "n_name", "c_name", "o_custkey", "o_totalprice", "o_orderdate", "tax")
+    ).drop("s_name", "n_name", "c_name", "c_nation", "o_custkey", "o_totalprice", "o_orderdate", "tax")
 
 
 def named(documents: DataFrame) -> DataFrame:

@@ -15,15 +15,18 @@ def vat_of(subtotal: Column, rate: Column) -> Column:
 def document_totals(
     lines: DataFrame, key: str, quantity: str, unit_price: str, rate: str = STANDARD_RATE
 ) -> DataFrame:
-    """Per document: item count, subtotal, VAT and total; sums only, so any document size works."""
-    line_total = F.col(quantity).cast("decimal(18,6)") * F.col(unit_price).cast("decimal(18,6)")
+    """Per document: item count, subtotal, VAT and total; sums only, so any document size works.
+
+    An amount beyond its type is null; it ends no job.
+    """
+    line_total = F.col(quantity).try_cast("decimal(18,6)") * F.col(unit_price).try_cast("decimal(18,6)")
     vat = vat_of(F.col("subtotal"), F.lit(rate).cast("decimal(5,4)"))
     return (
         lines.groupBy(key)
         .agg(
             F.count("*").alias("n_items"),
-            F.sum(cents(line_total)).cast("decimal(18,2)").alias("subtotal"),
+            F.sum(cents(line_total)).try_cast("decimal(18,2)").alias("subtotal"),
         )
-        .withColumn("vat_amount", vat.cast("decimal(18,2)"))
-        .withColumn("total_amount", (F.col("subtotal") + F.col("vat_amount")).cast("decimal(18,2)"))
+        .withColumn("vat_amount", vat.try_cast("decimal(18,2)"))
+        .withColumn("total_amount", (F.col("subtotal") + F.col("vat_amount")).try_cast("decimal(18,2)"))
     )

@@ -358,3 +358,20 @@ def test_recorded_shapes_of_amounts_and_items(spark):
     totals = {n: r.fields.InvoiceTotal and r.fields.InvoiceTotal.value for n, r in read.items()}
     assert totals == {"plain": "7", "nested": "7", "bare": None, "none": None, "broken": "7"}
     assert {n for n, r in read.items() if r.reason} == {"broken"}
+
+
+def test_written_prices_of_items_are_read_on_request(spark):
+    def written(text):
+        return {"content": text, "confidence": 0.9}
+
+    items = [
+        {"Description": {"value": "a"}, "Quantity": {"value": "2"}, "UnitPrice": written("40,00 EUR"), "Amount": written("80.00")},
+        {"Description": {"value": "b"}, "Amount": written("20,00 €")},
+        {"Description": {"value": "c"}, "UnitPrice": written("5,00"), "Amount": written("auf Anfrage")},
+    ]
+    text = json.dumps({"documents": [{"fields": fields(PLAUSIBLE, items=items)}]})
+    row = judged(spark, {"a": text}, read_written=True)["a"]
+    found = [(x.position, float(x.unit_price), float(x.line_total)) for x in row.line_items]
+    assert found == [(1, 40.0, 80.0), (2, 20.0, 20.0)]
+    assert row.extraction_warnings == ["Line item 3 ('c') had incomplete pricing - skipped"]
+    assert judged(spark, {"a": text})["a"].line_items == []

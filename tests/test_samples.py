@@ -8,22 +8,10 @@ from documents import judged
 from tallywright.functions import dates, money
 from tallywright.sources.assembly import STANDARD_RATE, document_totals
 
-# Item pool with unit prices, and the sample documents as
-# (number, first and last item of the pool, day, month, year, date format).
-POOL = [
-    ("Softwarelizenz Enterprise", 1200.00),
-    ("IT-Support Stunden (10h)", 850.00),
-    ("Cloud Hosting Paket M", 299.00),
-    ("Laptop Dell XPS 15", 1899.00),
-    ("Monitor 27 Zoll 4K", 450.00),
-    ("Tastatur und Maus Set", 89.00),
-    ("Netzwerk Switch 24-Port", 320.00),
-    ("Beratungsleistung (5h)", 625.00),
-    ("Datensicherung Backup", 149.00),
-    ("VPN Lizenz Jahresabo", 199.00),
-    ("Server Rack Einheit", 780.00),
-    ("Schulung Python Grundlagen", 540.00),
-]
+# Unit prices of the item pool, and the sample documents as (number, first and last item
+# of the pool, day, month, year, date format).
+PRICES = [1200.00, 850.00, 299.00, 1899.00, 450.00, 89.00, 320.00, 625.00, 149.00, 199.00, 780.00, 540.00]
+POOL = [(f"good number {n}", price) for n, price in enumerate(PRICES, 1)]
 SAMPLES = [
     ("RE-2024-0091", 0, 3, 5, 1, 2024, 0),
     ("RE-2024-0092", 2, 4, 12, 2, 2024, 1),
