@@ -105,8 +105,8 @@ def commit_run(
     """
     columns = [n for n in STORED_INVOICE.names if n in evaluated.columns]
     staged = stage_numbered(evaluated.select(*columns, "stage", "reason"), f"evaluated-{run_id}")
-    keys = store.read_keys(spark, root, without=run_id)
-    keys = keys_nearby(keys, staged.filter(F.col("reason").isNull()))
+    open_cases = staged.filter(F.col("reason").isNull())
+    keys = store.read_keys(spark, root, run_id, lambda part: keys_nearby(part, open_cases))
     may_lose = F.col("run_id").startswith(one_stream) if one_stream else F.lit(False)
     stored = keys.select(
         "invoice_number",

@@ -10,10 +10,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Rows arrive sorted by document from the numbering window: aggregate them as they stream by.
-    "spark.sql.execution.replaceHashWithSortAgg": "true",
-    # Lists of flagged items per document are short; keep many documents before sorting instead.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "50000",
     # Building a query is many small calls; do not record the Python line of each.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

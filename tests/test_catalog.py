@@ -48,7 +48,7 @@ def test_items_in_documents_equal_items_in_rows(spark):
     """The same rules over arrays and over rows, on the fixture's small documents."""
     as_of = F.lit(tables.AS_OF).cast("date")
     rows = tables.judged_documents(spark, SF)
-    numbered = tables.raw_items(tables.numbered_lines(spark, SF))
+    numbered = tables.raw_items(tables.priced_lines(spark, SF))
     gathered = numbered.groupBy("order_key").agg(
         F.array_sort(F.collect_list(F.struct("position", "item"))).alias("raw")
     )
