@@ -9,7 +9,7 @@ END_ID = 0
 VOCABULARY = "byte_bpe_50k.json"
 
 # Pieces a worker remembers between texts, newer and older ones; about 200 bytes each.
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 
 _TOUCHING = re.compile(r"\s\s")
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
