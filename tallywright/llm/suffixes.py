@@ -24,9 +24,11 @@ doc_id. Strings are judged on the input and never cross documents.
 
 A passage that a third of all documents share is one record per batch in step 3, so no task sees all its
 copies. Its edges stand beside something else in every document, though, and all these records would have
-one anchor: so an anchor that more than `HOT_BATCHES` batches have does not deal records. Its strings of
-`length` bytes are dealt one by one, by their own content. Batches and shards are bounded in bytes, and so
-is what one anchor brings to a bucket; the numbers of batches and buckets grow with the data.
+one anchor. Batches count their different records of an anchor that stands often in them; one with more
+than `HOT_RECORDS` beyond the first of each batch does not deal records: its strings of `length` bytes are
+dealt one by one, by their own content. Batches and shards are bounded in bytes, and what one anchor brings
+to a bucket is bounded by `HOT_RECORDS` and `COUNTED` records per batch; the numbers of batches and buckets
+grow with the data.
 
 Nulls and odd rows: a null text is empty, a null doc_id is smaller than any other; rows with one doc_id
 do not remove anything from each other; texts shorter than `length` keep all bytes; an empty table gives
@@ -52,14 +54,17 @@ BATCH_BYTES = 4 << 20
 # Input bytes for each bucket of anchors and records, and bytes of records sorted at once.
 BUCKET_BYTES = 6 << 20
 SHARD_BYTES = 4 << 20
-# Batches that an anchor may be in before its strings are dealt one by one.
-HOT_BATCHES = 64
+# Records of one anchor, beside the first of each batch, before its strings are dealt one by one: this
+# makes up to 19 strings of each record, so it is left to anchors that would fill a task.
+HOT_RECORDS = 100_000
+# A batch counts the records of an anchor that stands more often in it than this.
+COUNTED = 15
 
 _PLACE_BITS = np.uint64(30)
 _NONE = np.iinfo(np.int64).min
 
 BATCHES = "batch long, n_bytes long, doc_ids binary, lengths binary, payload binary"
-ANCHORS = "bucket int, batch long, n int, codes binary, several binary"
+ANCHORS = "bucket int, batch long, n int, codes binary, several binary, extra binary"
 SHARED = "bucket int, batch long, n int, codes binary, hot binary"
 RECORDS = "bucket int, batch long, ints binary, longs binary, payload binary"
 RUNS = "batch long, ints binary, longs binary"
@@ -276,7 +281,8 @@ def remove_repeats(
     batch_bytes: int = BATCH_BYTES,
     bucket_bytes: int = BUCKET_BYTES,
     shard_bytes: int = SHARD_BYTES,
-    hot_batches: int = HOT_BATCHES,
+    hot_records: int = HOT_RECORDS,
+    counted: int = COUNTED,
 ) -> DataFrame:
     """One row per document: `doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans`."""
     batches = batches_of(docs, batch_bytes)
@@ -292,13 +298,21 @@ def remove_repeats(
     def anchors(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
             for row in frame.to_pylist():
-                hashes, owner, _, _ = _Text(row).anchors(length, gram)
+                text = _Text(row)
+                hashes, owner, begin, end = text.anchors(length, gram)
                 bucket, code = codes(hashes)
                 order = np.lexsort((owner, code, bucket))
                 bucket, code, owner = bucket[order], code[order], owner[order]
                 new = np.append(True, (code[1:] != code[:-1]) | (bucket[1:] != bucket[:-1]))[: len(code)]
                 heads = np.flatnonzero(new)
                 tails = np.append(heads[1:], len(code)) - 1 if len(heads) else heads
+                # Different records of each anchor but one, where it stands often.
+                extra = np.zeros(len(heads), np.uint16)
+                begin, end = begin[order], end[order] + length
+                for at in np.flatnonzero(tails - heads >= counted).tolist():
+                    a, b = heads[at], tails[at] + 1
+                    found = {text.data[x:y] for x, y in zip(begin[a:b].tolist(), end[a:b].tolist())}
+                    extra[at] = min(len(found) - 1, 65535)
                 bucket, code, several = bucket[heads], code[heads], owner[heads] != owner[tails]
                 keys, firsts = np.unique(bucket, return_index=True)
                 parts = list(zip(firsts, np.append(firsts[1:], len(bucket))))
@@ -309,21 +323,26 @@ def remove_repeats(
                     [int(b - a) for a, b in parts],
                     [code[a:b].astype("<u4").tobytes() for a, b in parts],
                     [np.packbits(several[a:b]).tobytes() for a, b in parts],
+                    [extra[a:b].astype("<u2").tobytes() if extra[a:b].any() else b"" for a, b in parts],
                 )
 
     def shared(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         code = np.concatenate([_read(row["codes"], "<u4") for row in rows])
         several = np.concatenate([np.unpackbits(_read(row["several"], np.uint8))[: row["n"]] for row in rows])
+        extra = np.concatenate(
+            [_read(row["extra"], "<u2") if row["extra"] else np.zeros(row["n"], "<u2") for row in rows]
+        )
         batch = np.repeat(np.arange(len(rows)), [row["n"] for row in rows])
         order = np.argsort(code, kind="stable")
         code, kept, batch = code[order], several[order].astype(bool), batch[order]
         same = code[1:] == code[:-1]
         kept[1:] |= same
         kept[:-1] |= same
-        # A batch names an anchor once, so these are the batches that have it.
-        times = np.searchsorted(code, code, side="right") - np.searchsorted(code, code)
-        code, batch, hot = code[kept], batch[kept], (times > hot_batches)[kept]
+        first = np.flatnonzero(np.append(True, ~same))
+        more = np.add.reduceat(extra[order].astype(np.int64), first)
+        hot = np.repeat(more > hot_records, np.diff(np.append(first, len(code))))[kept]
+        code, batch = code[kept], batch[kept]
         order = np.argsort(batch, kind="stable")
         cuts = np.searchsorted(batch[order], np.arange(len(rows) + 1))
         some = [n for n in range(len(rows)) if cuts[n] < cuts[n + 1]]

@@ -300,7 +300,7 @@ def test_toxicity_learns_from_its_folds(spark, none):
 SMALL = {"batch_bytes": 4000, "bucket_bytes": 9000, "shard_bytes": 900}
 
 
-@pytest.mark.parametrize("sizes", [{}, SMALL, SMALL | {"hot_batches": 0}, SMALL | {"hot_batches": 1}, {"hot_batches": 0}])
+@pytest.mark.parametrize("sizes", [{}, SMALL, SMALL | {"hot_records": -1}, SMALL | {"hot_records": 1, "counted": 1}, {"hot_records": 0, "counted": 1}])
 def test_repeats_are_removed(docs, none, sizes):
     extra = docs.unionByName(docs.filter("doc_id = 5").withColumn("doc_id", F.lit(50).cast("long")))
     rows = suffixes.remove_repeats(extra, **sizes).collect()
@@ -309,7 +309,7 @@ def test_repeats_are_removed(docs, none, sizes):
     assert suffixes.remove_repeats(none).isEmpty()
 
 
-@pytest.mark.parametrize("hot", [0, 5, 64, 10**9])
+@pytest.mark.parametrize("hot", [-1, 0, 20, 200, 10**9])
 def test_one_line_in_every_document(spark, hot):
     """The line's edges stand beside other text everywhere, also beside other copies of parts of it."""
     rng = np.random.default_rng(8)
@@ -320,7 +320,7 @@ def test_one_line_in_every_document(spark, hot):
         middle = line if n % 3 else line[: int(rng.integers(20, 70))]
         rows.append((n if n % 50 else None, own[0] + line + own[1] + middle + own[2]))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
-    found = suffixes.remove_repeats(docs, batch_bytes=1500, bucket_bytes=9000, shard_bytes=2000, hot_batches=hot)
+    found = suffixes.remove_repeats(docs, batch_bytes=1500, bucket_bytes=9000, shard_bytes=2000, hot_records=hot, counted=2)
     assert_without_repeats(found.collect(), [(key, text.encode()) for key, text in rows])
 
 
