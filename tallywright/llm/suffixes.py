@@ -140,16 +140,23 @@ class _Text:
             step = min(span, wide - span)
             best = np.minimum(best[:-step], best[step:])
             span += step
-        chosen = (best & ((np.uint64(1) << _PLACE_BITS) - np.uint64(1))).astype(np.int64)
-        strings = np.maximum(self.lengths - length + 1, 0)
-        owner = np.repeat(np.arange(len(strings)), strings)
-        windows = np.arange(len(owner)) + np.repeat(self.starts - np.cumsum(strings) + strings, strings)
-        chosen = chosen[windows]
-        if not len(chosen):
+        best &= (np.uint64(1) << _PLACE_BITS) - np.uint64(1)
+        holding = np.flatnonzero(self.lengths >= length)
+        if not len(holding):
             return none.astype(np.uint64), none, none, none
-        first = np.flatnonzero(np.append(True, (chosen[1:] != chosen[:-1]) | (owner[1:] != owner[:-1])))
-        last = np.append(first[1:], len(chosen)) - 1
-        return hashes[chosen[first]], owner[first], windows[first], windows[last]
+        starts = self.starts[holding]
+        ends = starts + self.lengths[holding] - length  # where the last string of a document starts
+        # Inside a document an anchor begins where another place is the smallest.
+        inside = np.zeros(len(best) + 1, np.int8)
+        inside[starts] = 1
+        inside[ends + 1] -= 1
+        inside = np.cumsum(inside[:-1], dtype=np.int8).view(bool)
+        inside[1:] &= best[1:] != best[:-1]
+        inside[starts] = True
+        first = np.flatnonzero(inside)
+        document = np.searchsorted(starts, first, side="right") - 1
+        last = np.minimum(np.append(first[1:], len(best)) - 1, ends[document])
+        return hashes[best[first].astype(np.int64)], holding[document], first, last
 
 
 def _sorted_in(values: np.ndarray, within: np.ndarray) -> np.ndarray:
