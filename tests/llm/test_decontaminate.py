@@ -109,3 +109,51 @@ def test_latent_search_alone_finds_nine_in_ten(spark):
     recall = len(want & found) / len(want)
     print(f"recall of the latent search alone: {recall:.3f} of {len(want)}")
     assert len(want) >= 40 and recall >= 0.9
+
+
+def test_every_passage_of_every_document_shapes_the_space(spark):
+    texts = [" ".join(prose(150) + [f"late{n}of{at}" for n in range(16)]) for at in range(30)] + ["", None, "short text"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    benchmark = spark.createDataFrame([(0, " ".join(prose(20)))], "item_id long, text string")
+    rows = decontaminate._bucket_rows(docs)
+    idf = decontaminate.inverse_frequencies(*decontaminate.document_frequencies(rows))
+    sums = decontaminate.signed_sums(rows, idf)
+    lengths = [len(word_hashes([(text or "").encode()])[0]) for text in texts]
+    assert sums.count() == decontaminate.SUMS
+    assert sums.agg({"n": "sum"}).first()[0] == sum(len(decontaminate.windows_of(n)) for n in lengths)
+    # Words at the end of any document are known, however few documents a sample would have.
+    _, basis = decontaminate.latent_space(docs, benchmark, 1)
+    last = decontaminate._bucket(word_hashes([text.encode() for text in texts[:30]])[0][lengths[0] - 1 :: lengths[0]])
+    assert (np.abs(basis[last]).max(1) > 0).all()
+
+
+def test_few_passages_stay_apart_and_sums_hold_all():
+    idf = 1 + rng.random(decontaminate.BUCKETS).astype(np.float32)
+    texts = [" ".join(prose(n)).encode() for n in (100, 5, 0, 16, 17, 33)]
+    words, owner, _, _ = word_hashes(texts)
+    buckets, ends = decontaminate._bucket(words), np.searchsorted(owner, np.arange(len(texts) + 1))
+    made = decontaminate._Sums(idf, 3)
+    made.add(buckets, ends)
+    want = []
+    for a, b in zip(ends[:-1], ends[1:]):
+        for low, high in decontaminate.windows_of(int(b - a)):
+            own = buckets[a + low : a + high]
+            want.append(np.bincount(own, idf[own], decontaminate.BUCKETS) / np.sqrt((idf[own] ** 2).sum()))
+    assert made.n == len(want) <= decontaminate.SUMS
+    got = made.sums[: made.n] * np.sign(made.sums[: made.n].sum(1, keepdims=True))
+    assert np.allclose(got, want, atol=1e-5)
+    # Beyond that each sum has every so many-th passage, with a sign.
+    for _ in range(40):
+        made.add(buckets, ends)
+    assert made.n == 41 * len(want)
+    assert np.abs(made.sums).sum() > np.abs(want).sum()
+
+
+def test_orthonormal_columns_and_zeros_for_dependent_ones():
+    p = rng.standard_normal((500, 6)).astype(np.float32) * 10.0 ** -np.arange(6)
+    q = decontaminate.orthonormal(p.astype(np.float32))
+    assert np.allclose(q.T @ q, np.eye(6), atol=1e-5)
+    p[:, 3:] = p[:, :3]
+    q = decontaminate.orthonormal(p.astype(np.float32))
+    assert np.allclose(np.sort(np.diag(q.T @ q)), [0, 0, 0, 1, 1, 1], atol=1e-4)
+    assert not decontaminate.orthonormal(np.zeros((50, 3), np.float32)).any()
