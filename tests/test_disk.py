@@ -6,19 +6,26 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from tallywright import shared
 from tallywright.operators.mapping import fields_read, map_header
 from tallywright.plans import tables
 from tallywright.plans.batch import commit_run
 from tallywright.plans.catalog import QUERIES
-from tallywright.shared import CLEANUP_SETTING, scratch_folder, shared_folder, stage, staging
+from tallywright.shared import CLEANUP_SETTING, scratch_folder, stage, staging
 from tallywright.sources.store import derive_line_items, read_outcomes
 from tallywright.streaming import arrivals
 
 from conftest import SF
 
 
+@pytest.fixture(autouse=True)
+def own_folder(monkeypatch, tmp_path):
+    """The shared folder may be that of other sessions, too."""
+    monkeypatch.setattr(shared, "shared_folder", lambda spark: str(tmp_path))
+
+
 def scratch(spark):
-    return {p.name for p in Path(shared_folder(spark)).iterdir()}
+    return {p.name for p in Path(shared.shared_folder(spark)).iterdir()}
 
 
 def shuffle_files(spark):
